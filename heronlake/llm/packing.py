@@ -32,8 +32,8 @@ from heronlake.llm import common
 
 CAPACITY = 2048
 END_ID = 0
-#: Words, and pre-tokens, whose ids a worker remembers in each of two generations.
-CACHE_WORDS = 300_000
+#: Pre-tokens whose ids a worker remembers in each of two generations.
+CACHE_WORDS = 500_000
 #: Pieces that one rank bucket holds on average.
 BUCKET_PIECES = 20_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -82,7 +82,6 @@ class WordTokenizer:
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]  # the byte-level alphabet: bytes that show stand for themselves
         self.byte = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
         self.part = Recent(self._part, cache_words)
-        self.word = Recent(lambda word: b"".join(map(self.part, self.cut(word))), cache_words)
         self.whole = Recent(self._whole, cache_words // 8)
 
     def _part(self, part: str) -> bytes:
@@ -99,7 +98,7 @@ class WordTokenizer:
             if self.other(text):
                 memory, parts = self.whole, re.split("[ \t\r\n]", text)
             else:
-                memory, parts = self.word, text.lower().split()
+                memory, parts = self.part, self.cut(text.lower())
             found = list(map(memory.young.get, parts))
             if None in found:
                 found = [memory(p) if f is None else f for f, p in zip(found, parts)]

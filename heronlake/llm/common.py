@@ -85,3 +85,23 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 def _mark(star: DataFrame) -> tuple:
     """Count and order-free hash of an edge table: equal marks mean that a round changed nothing."""
     return tuple(star.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first())
+
+
+class Recent:
+    """A bounded memory of two generations: what the older one held and nobody asked for again is forgotten."""
+
+    def __init__(self, make, size: int):
+        self.make, self.size = make, size
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def __call__(self, key: str) -> bytes:
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is None:
+                found = self.make(key)
+            if len(self.young) >= self.size:
+                self.old, self.young = self.young, {}
+            self.young[key] = found
+        return found

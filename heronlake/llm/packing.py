@@ -39,26 +39,6 @@ BUCKET_PIECES = 20_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class Recent:
-    """A bounded memory of two generations: what the older one held and nobody asked for again is forgotten."""
-
-    def __init__(self, make, size: int):
-        self.make, self.size = make, size
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def __call__(self, key: str) -> bytes:
-        found = self.young.get(key)
-        if found is None:
-            found = self.old.get(key)
-            if found is None:
-                found = self.make(key)
-            if len(self.young) >= self.size:
-                self.old, self.young = self.young, {}
-            self.young[key] = found
-        return found
-
-
 class WordTokenizer:
     """Ids of a text as little-endian 32-bit bytes, through a cache over a tokenizers file.
 
@@ -81,8 +61,8 @@ class WordTokenizer:
         self.other = re.compile("[^\t\n\r -~\u00a1-\u00ac\u00ae-\u024f]").search
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]  # the byte-level alphabet: bytes that show stand for themselves
         self.byte = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
-        self.part = Recent(self._part, cache_words)
-        self.whole = Recent(self._whole, cache_words // 8)
+        self.part = common.Recent(self._part, cache_words)
+        self.whole = common.Recent(self._whole, cache_words // 8)
 
     def _part(self, part: str) -> bytes:
         if not part.isascii():

@@ -204,3 +204,14 @@ def round_trip(pages: DataFrame) -> DataFrame:
     archives = common.materialise(write_pages(pages, folder), "warc-archives")
     page = lambda c: F.regexp_extract(c, r"page:(-?\d+)>", 1).try_cast("long")
     return read_archives(spark, folder, archives).select(page(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", page(F.col("refers_to")).alias("refers_to"))
+
+
+ROUND_TRIP_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, row_number() OVER () AS k FROM pages),
+h AS (SELECT *, sha1(body) AS s, row_number() OVER (PARTITION BY body ORDER BY page_id DESC NULLS LAST, k) AS place, max(page_id) OVER (PARTITION BY body) AS first FROM p),
+v AS (SELECT *, list_transform(range(8), lambda g: CAST('0x' || substr(s, CAST(5 * g + 1 AS BIGINT), 5) AS BIGINT)) AS fives FROM h)
+SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((fives[(i // 4) + 1] >> (15 - 5 * (i % 4))) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN first END AS refers_to
+FROM v
+"""

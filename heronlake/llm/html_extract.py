@@ -29,6 +29,7 @@ _BLOCK = frozenset(
     "html body div section article main header footer nav aside form fieldset ul ol li dl dt dd table caption thead tbody tfoot tr td th p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption address details summary menu dialog center hgroup search".split()
 )
 _LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th caption figcaption summary pre address blockquote".split())
+_PART = frozenset("article section main div aside header footer nav".split())
 _RAW = frozenset("script style textarea title noscript iframe template svg xmp select button object".split())
 _VOID = frozenset("br hr img input meta link wbr area base col embed source track param".split())
 #: Tags whose start closes an open element of the second kind, up to the nearest container.
@@ -129,8 +130,10 @@ def parse(page: str) -> list[Node]:
                                 break
                             if t in ("ul", "ol", "dl", "table", "div", "section", "article", "menu"):
                                 break
-                    if tag != "html":
-                        names, label = _names(attributes) if "=" in attributes else ((), "")
+                    names, label = _names(attributes) if "=" in attributes else ((), "")
+                    if tag == "html":
+                        nodes[0].label = label
+                    else:
                         nodes[stack[-1]].end = True
                         nodes.append(Node(tag, stack[-1], names, label or nodes[stack[-1]].label))
                         stack.append(len(nodes) - 1)
@@ -156,17 +159,21 @@ def _names(attributes: str) -> tuple[tuple[str, ...], str]:
 
 
 def features(nodes: list[Node]) -> list[list[str]]:
-    """What each node shows: tag, attribute words, and for the whole subtree amount of text and share of it in links."""
+    """What each node shows: tag with the share of its subtree's text in links, amount of that text, attribute words."""
     chars, linked = [n.chars for n in nodes], [n.linked for n in nodes]
     for i in range(len(nodes) - 1, 0, -1):
         chars[nodes[i].parent] += chars[i]
         linked[nodes[i].parent] += linked[i]
     out = []
+    flat = all(n.tag in _LEAF or n.tag in ("#text", "html", "body", "ul", "ol", "table", "tr", "figure") for n in nodes)
     for n, c, l in zip(nodes, chars, linked):
         group = "t" if n.tag in _LEAF or n.tag == "#text" else "w"
         size = 0 if not c else min(6, int(math.log(c, 3)))
         links = 0 if not l else 1 + min(3, int(4 * l / c))
-        out.append([f"tag={n.tag}", f"{group}size={size}", f"{group}links={links}", *(f"name={w}" for w in n.names)])
+        out.append([f"tag={n.tag}/links={links}", f"{group}size={size}", *(f"name={w}" for w in n.names), *((f"unnamed={n.tag}",) if n.tag in _PART and not n.names else ())])
+    if flat:  # a page without any layout
+        for own in out:
+            own.append("flat")
     return out
 
 
@@ -313,7 +320,7 @@ def labelled_pages(n: int = 600, seed: int = 7) -> list[str]:
 
     out = []
     for _ in range(n):
-        body = [paragraph() for _ in range(r.randint(1, 14))]
+        body = [paragraph() for _ in range(r.randint(1, 14))] if r.random() < 0.8 else [f"<p>{words(1, 12)}.</p>" for _ in range(r.randint(1, 2))]
         if r.random() < 0.8:
             title = f"<h1>{words(2, 12)}</h1>"
             body.insert(0, f'<header data-y="c">{title}</header>' if r.random() < 0.15 else title)
@@ -325,7 +332,7 @@ def labelled_pages(n: int = 600, seed: int = 7) -> list[str]:
         elif plain < 0.14:  # bare text
             content = f'<div data-y="c">{words(20, 200)}.</div>'
         else:
-            content = element("c", r.choice(["article", "article", "article", "main", "div", "div", "section"]), ["", "", "content", "article", "post", "entry content", "article body", "post content", "story", "main content", "text", "body text", "entry", "main"], "".join(body) if r.random() < 0.75 else f'<div class="{r.choice(["inner", "body", "entry", "content", "text"])}">{"".join(body)}</div>')
+            content = element("c", r.choice(["article", "article", "article", "main", "div", "div", "section"]), ["", "", "", "", "", "content", "article", "post", "entry content", "article body", "post content", "story", "main content", "text", "body text", "entry", "main"], "".join(body) if r.random() < 0.75 else f'<div class="{r.choice(["inner", "body", "entry", "content", "text"])}">{"".join(body)}</div>')
         parts = [boiler("top") for _ in range(r.randint(0, 3))]
         middle = content
         if r.random() < 0.4:
@@ -338,8 +345,8 @@ def labelled_pages(n: int = 600, seed: int = 7) -> list[str]:
         if r.random() < 0.15:
             page = element("m", "div", ["", "wrapper", "container", "page", "site"], page)
         out.append(f'<html><head><title>{words(2, 5)}</title></head><body data-y="m">{page}</body></html>')
-    for _ in range(n // 40):  # nothing but text
-        out.append(f'<div data-y="c">{words(5, 100)}</div>')
+    for _ in range(n // 20):  # fragments: nothing but text
+        out.append(f'<html data-y="c">{"".join(paragraph() for _ in range(r.randint(1, 6))) if r.random() < 0.7 else words(3, 100)}')
     return out
 
 

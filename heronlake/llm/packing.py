@@ -129,27 +129,30 @@ def price(weights: np.ndarray, capacity: int) -> dict[int, int]:
     return out
 
 
-def configuration_lp(counts: np.ndarray, capacity: int, rounds: int, step: float = 0.25) -> list[tuple[dict[int, int], float]]:
-    """A fractional packing of counts[l] pieces of each length l: (configuration, uses), none covering more than there is.
+def configuration_lp(counts: np.ndarray, capacity: int, duals: np.ndarray, rounds: int, eta: float = 30.0) -> tuple[list[tuple[dict[int, int], float]], np.ndarray]:
+    """A fractional packing of counts[l] pieces of each length l: ([(configuration, uses)], better duals); nothing is packed twice.
 
-    Multiplicative weights: a length's weight is its size times (1 - step) to the share of it that is covered; each round
-    uses the configuration of most weight until one of its lengths has had a ``step`` of its count.
+    Multiplicative weights: a length's weight is its dual estimate times exp(-eta * the share of it that is covered), so all
+    shares rise together. Each round uses the configuration of most weight for one step of its scarcest length. The weights
+    reached estimate the duals of what is left.
     """
-    left = counts.astype(float)
-    sizes = np.arange(len(counts), dtype=float)
-    total = np.maximum(left, 1)
+    have = np.flatnonzero(counts)
+    n = np.maximum(counts.astype(float), 1e-9)
+    step = float(np.clip(len(have) / 800, 0.01, 0.25))
+    covered = np.where(counts > 0, 0.0, 1.0)
     found: list[tuple[dict[int, int], float]] = []
     for _ in range(rounds):
-        live = left > 1e-9
+        live = covered < 1 - 1e-9
         if not live.any():
             break
-        weights = np.where(live, sizes * (1 - step) ** (4 * (1 - left / total)), 0.0)
-        config = price(weights, capacity)
-        uses = min(min(left[l] / n, max(step * total[l], n) / n) for l, n in config.items())
-        for l, n in config.items():
-            left[l] -= uses * n
+        config = price(np.where(live, duals * np.exp(-eta * covered), 0.0), capacity)
+        uses = min(min((1 - covered[l]) * n[l], max(step * n[l], a)) / a for l, a in config.items())
+        for l, a in config.items():
+            covered[l] += uses * a / n[l]
         found.append((config, uses))
-    return found
+    better = duals.copy()
+    better[have] *= np.exp(-eta * np.clip(covered[have] - np.median(covered[have]), -0.2, 0.2))
+    return found, better
 
 
 def fill(counts: dict[int, int], capacity: int) -> list[int]:
@@ -178,7 +181,7 @@ def fill(counts: dict[int, int], capacity: int) -> list[int]:
     return out
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, phases: int = 4, rounds: int = 400) -> list[tuple[int, list[int]]]:
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, phases: int = 8, rounds: int = 400) -> list[tuple[int, list[int]]]:
     """(number of sequences, their lengths in order) for all pieces of the histogram."""
     out: list[tuple[int, list[int]]] = []
     counts = np.zeros(capacity + 1, np.int64)
@@ -187,13 +190,17 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, phases: int = 4, r
     if counts[capacity]:
         out.append((int(counts[capacity]), [capacity]))
         counts[capacity] = 0
+    duals = np.arange(capacity + 1) / capacity
     for _ in range(phases):
         before = int(counts.sum())
         if before <= 2 * capacity:
             break
-        for config, uses in sorted(configuration_lp(counts, capacity, rounds), key=lambda x: -x[1]):
-            whole = min(max(1, int(uses)), *(int(counts[l]) // n for l, n in config.items()))
-            if whole and sum(l * n for l, n in config.items()) >= capacity - capacity // 256:
+        found, duals = configuration_lp(counts, capacity, duals, rounds)
+        for config, uses in sorted(found, key=lambda x: -x[1]):
+            full = sum(l * n for l, n in config.items()) >= capacity - capacity // 256
+            # of a configuration used less than once a whole one is taken only where it wastes nothing
+            whole = min(max(int(full), int(uses)), *(int(counts[l]) // n for l, n in config.items()))
+            if whole:
                 out.append((whole, [l for l, n in sorted(config.items(), reverse=True) for _ in range(n)]))
                 for l, n in config.items():
                     counts[l] -= whole * n

@@ -91,6 +91,14 @@ class Transducer:
         self.strip = bool(normaliser.get(4, 1))
         self.ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == NORMAL}
         self.longest = max(map(len, self.ids), default=1)
+        #: Neighbouring characters inside pieces; no piece crosses any others, so units are cut between those.
+        self.inner = {p[i : i + 2].replace(BLANK, " ") for p in self.ids for i in range(len(p) - 1)}
+        ends: dict[str, set[int]] = {}
+        for p in self.ids:
+            if len(p) > 1:
+                ends.setdefault(p[-2:], set()).add(len(p))
+        #: Lengths of the pieces that end in two characters, longest first: the arcs that can end there.
+        self.ends = {k: tuple(sorted(v, reverse=True)) for k, v in ends.items()}
         self.unknown = self.kinds.index(UNKNOWN) if UNKNOWN in self.kinds else 0
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == BYTE}
         joined = {c for p in self.ids if len(p) > 1 for c in p}
@@ -148,16 +156,19 @@ class Transducer:
 
     def _pair_path(self, unit: str) -> list[str]:
         """BPE: the one finite path; last[i] is the piece that ends the prefix of i characters on it."""
-        ids, longest, accepts, pairs = self.ids, self.longest, self.accepts, self.pairs
+        ids, ends, accepts, pairs = self.ids, self.ends, self.accepts, self.pairs
         last = [""] * (len(unit) + 1)
         for end in range(1, len(unit) + 1):
-            for start in range(end - longest if end > longest else 0, end):
-                piece = unit[start:end]
-                if piece in ids or end - start == 1:
-                    ok = pairs.get((last[start], piece))
-                    if ok or ok is None and accepts(last[start], piece):
-                        last[end] = piece
-                        break
+            for n in ends.get(unit[end - 2 : end], ()) if end > 1 else ():
+                if n <= end:
+                    piece = unit[end - n : end]
+                    if piece in ids:
+                        ok = pairs.get((last[end - n], piece))
+                        if ok or ok is None and accepts(last[end - n], piece):
+                            last[end] = piece
+                            break
+            else:
+                last[end] = unit[end - 1]  # a character by itself: the only arc left
         out, at = [], len(unit)
         while at:
             out.append(last[at])
@@ -166,6 +177,13 @@ class Transducer:
 
     def _unit(self, unit: str) -> bytes:
         """Ids of a unit as little-endian 32-bit bytes, byte fallback included."""
+        inner, at, parts = self.inner, 0, []
+        for i in range(1, len(unit)):
+            if unit[i - 1 : i + 1] not in inner:
+                parts.append(unit[at:i])
+                at = i
+        if parts:
+            return b"".join(map(self.unit, [*parts, unit[at:]]))
         unit = unit.replace(" ", BLANK)
         out: list[int] = []
         for piece in self._pair_path(unit) if self.bpe else self._lattice_path(unit):

@@ -392,7 +392,7 @@ def lateness_exceedances(spark, sf_dir):
     return lateness.exceedances(lateness_model(spark, sf_dir))
 
 
-@query("lateness_quantiles", _LATE + "SELECT " + ", ".join(f"round(quantile_cont(lateness_ms, {q}) / 60000.0, 6)::DOUBLE AS {n}" for n, q in (("p50", 0.5), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99), ("p999", 0.999), ("max", 1.0))) + " FROM lt")
+@query("lateness_quantiles", _LATE + "SELECT " + ", ".join(f"round(quantile_cont(lateness_ms, {q}), 4)::DOUBLE AS {n}" for n, q in (("p50", 0.5), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99), ("p999", 0.999), ("max", 1.0))) + " FROM lt")
 def lateness_quantiles(spark, sf_dir):
     return lateness.quantiles(lateness_model(spark, sf_dir), approximate=False)
 

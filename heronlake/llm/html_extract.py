@@ -34,7 +34,7 @@ _RAW = frozenset("script style textarea title noscript iframe template svg xmp s
 _VOID = frozenset("br hr img input meta link wbr area base col embed source track param".split())
 #: Tags whose start closes an open element of the second kind, up to the nearest container.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
-_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|!\[CDATA\[(.*?)(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z))", re.S)
+_TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|!\[CDATA\[(.*?)(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+(?=>|\Z)|[^>]*+)(?:>|\Z))", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 

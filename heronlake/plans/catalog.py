@@ -281,6 +281,20 @@ def top_windows(spark, sf_dir):
     return windowed_metrics(spark, sf_dir).select("window_start_ms", "events").orderBy(F.desc("window_start_ms")).limit(50)
 
 
+@query("window_totals", f"SELECT count(*) AS windows, CAST(sum(events) AS BIGINT) AS events, CAST(sum(views) AS BIGINT) AS views, CAST(sum(carts) AS BIGINT) AS carts, CAST(sum(transactions) AS BIGINT) AS transactions, min(window_start_ms) AS first_ms, max(window_start_ms) AS last_ms FROM ({_WINDOWS.format(src='v')})")
+def window_totals(spark, sf_dir):
+    sums = [F.sum(c).alias(c) for c in ("events", "views", "carts", "transactions")]
+    return windowed_metrics(spark, sf_dir).agg(F.count("*").alias("windows"), *sums, F.min("window_start_ms").alias("first_ms"), F.max("window_start_ms").alias("last_ms"))
+
+
+@query("duplicate_inflation", "SELECT CAST(sum(CASE WHEN raw > clean THEN 1 ELSE 0 END) AS BIGINT) AS inflated_windows, CAST(sum(raw - clean) AS BIGINT) AS extra_events FROM (SELECT event_timestamp // 300000 AS w, count(*) AS raw, count(DISTINCT event_id) AS clean FROM i GROUP BY 1)")
+def duplicate_inflation(spark, sf_dir):
+    """The negative control in batch: what windows would count without deduplication."""
+    window = F.floor(F.col("event_timestamp") / 300_000).alias("w")
+    per = adapter.raw_events(spark, sf_dir, True).groupBy(window).agg(F.count("*").alias("raw"), F.count_distinct("event_id").alias("clean"))
+    return per.agg(F.sum(F.when(F.col("raw") > F.col("clean"), 1).otherwise(0)).alias("inflated_windows"), F.sum(F.col("raw") - F.col("clean")).alias("extra_events"))
+
+
 @query("reconcile_windows", "SELECT 0::BIGINT AS mismatches")
 def reconcile_windows(spark, sf_dir):
     events = _valid(spark, sf_dir)

@@ -8,6 +8,7 @@ so a rejected text never reaches the dearer rules. The order changes what is spe
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -80,10 +81,10 @@ def n_repeat_words(words: Column, window: int = WINDOW) -> Column:
 
 @dataclass(frozen=True)
 class Rule:
-    """rejects: true for a text to drop, from the columns text, words and lines; null counts as false."""
+    """rejects(text, words, lines): true for a text to drop; null counts as false."""
 
     name: str
-    rejects: Column
+    rejects: Callable[[Column, Column, Column], Column]
 
 
 def base_failed(n_words: Column, repeat: Column) -> Column:
@@ -98,16 +99,15 @@ def rules() -> list[Rule]:
     with a word repeat an earlier one (three lines at least). letters: under 60 % of the words hold a letter. shouting: over 60 % of the words end in '!!'
     or more. vocabulary: 100 words or more of which under 12 % differ.
     """
-    words, n = F.col("words"), F.size("words")
     return [
-        Rule("short", n < 20),
-        Rule("symbols", 10 * n_symbols(F.col("text")) > n),
-        Rule("word_length", (word_chars(words) < 2 * n) | (word_chars(words) > 12 * n)),
-        Rule("lines", (F.size("lines") >= 3) & (10 * n_dup_lines(F.col("lines")) > 4 * F.size("lines"))),
-        Rule("shouting", 10 * F.size(F.filter(words, lambda w: w.endswith("!!"))) > 6 * n),
-        Rule("letters", 10 * F.size(F.filter(words, lambda w: w.rlike(r"\p{L}"))) < 6 * n),
-        Rule("vocabulary", (n >= 100) & (100 * F.size(F.array_distinct(words)) < 12 * n)),
-        Rule("repeats", 100 * n_repeat_words(words) > 30 * n),
+        Rule("short", lambda t, w, l: F.size(w) < 20),
+        Rule("symbols", lambda t, w, l: 10 * n_symbols(t) > F.size(w)),
+        Rule("word_length", lambda t, w, l: (word_chars(w) < 2 * F.size(w)) | (word_chars(w) > 12 * F.size(w))),
+        Rule("lines", lambda t, w, l: (F.size(l) >= 3) & (10 * n_dup_lines(l) > 4 * F.size(l))),
+        Rule("shouting", lambda t, w, l: 10 * F.size(F.filter(w, lambda x: x.endswith("!!"))) > 6 * F.size(w)),
+        Rule("letters", lambda t, w, l: 10 * F.size(F.filter(w, lambda x: x.rlike(r"\p{L}"))) < 6 * F.size(w)),
+        Rule("vocabulary", lambda t, w, l: (F.size(w) >= 100) & (100 * F.size(F.array_distinct(w)) < 12 * F.size(w))),
+        Rule("repeats", lambda t, w, l: 100 * n_repeat_words(w) > 30 * F.size(w)),
     ]
 
 
@@ -135,31 +135,32 @@ def order_rules(docs: DataFrame, text_col: str = "text", own: list[Rule] | None
         idle = timed(F.lit(True))[0]
         found = []
         for rule in own:
-            seconds, hit = timed(rule.rejects)
+            seconds, hit = timed(rule.rejects(F.col("text"), F.col("words"), F.col("lines")))
             found.append((hit / n / max(seconds - idle, 1e-4), rule))
     finally:
         sample.unpersist()
     return [r for _, r in sorted(found, key=lambda x: -x[0])]
 
 
-def verdict(ordered: list[Rule]) -> Column:
+def verdict(ordered: list[Rule], text: Column, words: Column, lines: Column) -> Column:
     """Name of the first rule in order that rejects, else null; CASE stops at the first hit."""
-    out = F.when(F.coalesce(ordered[0].rejects, F.lit(False)), F.lit(ordered[0].name))
+    fails = lambda rule: F.coalesce(rule.rejects(text, words, lines), F.lit(False))
+    out = F.when(fails(ordered[0]), F.lit(ordered[0].name))
     for rule in ordered[1:]:
-        out = out.when(F.coalesce(rule.rejects, F.lit(False)), F.lit(rule.name))
+        out = out.when(fails(rule), F.lit(rule.name))
     return out
 
 
 def filter_documents(docs: DataFrame, text_col: str = "text", own: list[Rule] | None = None) -> DataFrame:
     """The rows of docs that no rule rejects, all columns kept; a null or empty text is short and goes.
 
-    Repeated rows are judged alike; an empty table stays empty. Columns named as the work columns are safe: the work is
-    done on a struct of the original row.
+    Repeated rows are judged alike; an empty table stays empty; columns may have any names. Words and lines are bound
+    inside the one filter expression: as columns they would be inlined, and split anew, wherever a rule names them.
     """
     ordered = order_rules(docs, text_col, own)
-    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{text_col}`").alias("text"))
-    judged = prepare(held).select("row", verdict(ordered).alias("rejected_by"))
-    return judged.where("rejected_by is null").select("row.*")
+    text = F.col(f"`{text_col}`")
+    parts = F.struct(text.alias("t"), words_of(text).alias("w"), lines_of(text).alias("l"))
+    return docs.where(_let(parts, lambda s: verdict(ordered, s["t"], s["w"], s["l"]).isNull()))
 
 
 def measure(docs: DataFrame) -> DataFrame:
@@ -178,7 +179,7 @@ def measure(docs: DataFrame) -> DataFrame:
     failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
     return counted.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
-        F.when(failed, False).otherwise(verdict(ordered).isNull()).alias("kept"),
+        F.when(failed, False).otherwise(verdict(ordered, F.col("text"), F.col("words"), F.col("lines")).isNull()).alias("kept"),
     )
 
 

@@ -204,7 +204,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = classes.join(roots.withColumnRenamed("node", "fp"), "fp")
     lows = linked.groupBy("root").agg(F.min("low").alias("least"))
     named = linked.join(lows, "root").select("fp", "least")
-    of = classes.join(named, "fp", "left").select("fp", F.coalesce("least", "low").alias("component_id"))
+    # a written table, so that the last join is a plain one, whose hot fingerprints Spark can split
+    of = common.materialise(classes.join(named, "fp", "left").select("fp", F.coalesce("least", "low").alias("component_id")), "simhash-components")
     return rows.join(of, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 

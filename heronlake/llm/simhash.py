@@ -216,7 +216,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     found = near_duplicates(docs, id_col, text_col, max_distance)
     keep = common.materialise(found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("n")), "simhash-keep")
-    out = docs.join(keep.select(F.col("doc_id").alias("_keep")), F.col(id_col) == F.col("_keep"), "left_semi")
+    # the list grows with the corpus: never broadcast, so the plan is the same at every size
+    out = docs.join(keep.select(F.col("doc_id").alias("_keep")).hint("merge"), F.col(id_col) == F.col("_keep"), "left_semi")
     if keep.where("n > 1").limit(1).count():
         out = out.dropDuplicates([id_col])
     return out

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from heronlake.llm import common, html_extract, langid, licenses, multiindex, packing, quality, queries, sentencepiece_wfst, simhash, urlfilter, warc
+from heronlake.llm import common, html_extract, langid, licenses, multiindex, neartext, packing, quality, queries, sentencepiece_wfst, simhash, urlfilter, warc
 
 DOCS = "doc_id long, text string, lang string, words string, h string"
 AWKWARD = [
@@ -325,6 +325,32 @@ def test_bucket_forests_and_links(spark):
     assert components(len(fps), [(at[a], at[b]) for a, b in map(tuple, simhash.links(df).collect())]) == want
 
 
+def brute_jaccard(a, b):
+    a, b = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (ascii_low(t).split() for t in (a, b)))
+    return len(a & b) / len(a | b)
+
+
+def test_pipeline_drops_texts_of_similarity_80(spark, sf_dir):
+    import corpus_pipeline as p
+
+    r = random.Random(8)
+    texts, far = [], 0
+    for _ in range(30):
+        words = [f"w{r.randrange(5000)}" for _ in range(r.randrange(40, 300))]
+        other = words[:]
+        for _ in range(r.randrange(1, 6)):
+            other[r.randrange(len(words))] = f"x{r.randrange(5000)}"
+        texts += [" ".join(words), " ".join(other)]
+        far += brute_jaccard(*texts[-2:]) >= 0.8 and (simhash.fingerprint(texts[-1]) ^ simhash.fingerprint(texts[-2])).bit_count() > 3
+    assert far > 5  # pairs that op7's three bits do not link
+    want = components(len(texts), [(i, j) for i in range(len(texts)) for j in range(i) if brute_jaccard(texts[i], texts[j]) >= 0.8])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stage = dict(p.STAGES)["simhash_near_dedup"]
+    kept = stage(spark, df, sf_dir)
+    assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want))
+    assert stage(spark, df.limit(0), sf_dir).count() == 0
+
+
 # op8
 
 

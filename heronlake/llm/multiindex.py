@@ -163,32 +163,9 @@ def _block(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     return pd.concat([counted, pd.DataFrame({"a": a, "b": pd.array(b, dtype="Int64"), "n": np.zeros(len(a), np.int64)})])
 
 
-def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL) -> DataFrame:
-    """(vec_id, n_links, component_id, kept), one row for each row of vectors; see ``fit`` for what is sampled.
-
-    Vectors that are null, empty or zero, or hold null or non-finite components, link with nothing and are kept, as are
-    vectors of another length than the most common one, which no cosine is defined with. Rows with a null id come back with
-    their links, their component's smallest id (null if none) and kept null or false. Repeated rows link with each other. An
-    empty table gives no rows; other columns are ignored.
-    """
-    spark = vectors.sparkSession
-    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
-    common.short_batches(spark, 2000)
-
-    def units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found = [usable(v) for v in pdf["v"]]
-            yield pd.DataFrame({"vec_id": pdf["vec_id"], "unit": [None if u is None else u.tobytes() for u in found]})
-
-    own = common.materialise(rows.mapInPandas(units, "vec_id long, unit binary"), "vectors")
-    sizes = own.where("unit is not null").groupBy(F.length("unit").alias("bytes")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "bytes").limit(1).collect()
-    width = sizes[0]["bytes"] if sizes else 0
-    # equal vectors are one class; its node is a hash-free number: the smallest id, or a negative number where all ids are null
-    classes = own.where(F.length("unit") == width).groupBy("unit").agg(F.min("vec_id").alias("low"), F.count("*").alias("weight"))
-    classes = common.materialise(classes.withColumn("id", F.monotonically_increasing_id()), "vector-classes")
-    total = classes.count()
-    if not total:
-        return own.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.when(F.col("vec_id").isNotNull(), True).alias("kept"))
+def _links(classes: DataFrame, total: int, threshold: float, target_recall: float) -> DataFrame:
+    """(a, b, n) as in ``_block`` for ``total`` classes of one vector length, through an index of their own."""
+    spark = classes.sparkSession
     drawn = classes.select("unit").where(F.pmod(F.xxhash64("unit"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, SAMPLE / total)) + 1).limit(2 * SAMPLE)
     sample = np.stack([np.frombuffer(r["unit"], np.float64) for r in drawn.toLocalIterator()])
     index = Index.fit(sample, total, threshold, target_recall)
@@ -214,7 +191,37 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     living = filed.select(*payload, F.col("home").alias("cell")).join(cells, "cell").select(*payload, "cell", own_block(F.col("nd")).alias("dk"), blocks(F.col("nq")).alias("qk"), F.lit(False).alias("visitor"))
     visiting = filed.select(*payload, F.explode("cells").alias("cell")).join(cells, "cell").select(*payload, "cell", own_block(F.col("nq")).alias("qk"), blocks(F.col("nd")).alias("dk"), F.lit(True).alias("visitor"))
     met = living.unionByName(visiting).groupBy("cell", "dk", "qk").applyInPandas(lambda pdf: _block(pdf, threshold), "a long, b long, n long")
-    met = common.materialise(met, "vector-links")
+    return common.materialise(met, "vector-links")
+
+
+def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL) -> DataFrame:
+    """(vec_id, n_links, component_id, kept), one row for each row of vectors; see ``fit`` for what is sampled.
+
+    Vectors that are null, empty or zero, or hold null or non-finite components, link with nothing and are kept. Vectors of
+    different lengths have no cosine: each length has its own index, built one after the other. Rows with a null id come back with
+    their links, their component's smallest id (null if none) and kept null or false. Repeated rows link with each other. An
+    empty table gives no rows; other columns are ignored.
+    """
+    spark = vectors.sparkSession
+    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
+    common.short_batches(spark, 2000)
+
+    def units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [usable(v) for v in pdf["v"]]
+            yield pd.DataFrame({"vec_id": pdf["vec_id"], "unit": [None if u is None else u.tobytes() for u in found]})
+
+    own = common.materialise(rows.mapInPandas(units, "vec_id long, unit binary"), "vectors")
+    # equal vectors are one class; its node is a hash-free number: the smallest id, or a negative number where all ids are null
+    classes = own.where("unit is not null").groupBy("unit").agg(F.min("vec_id").alias("low"), F.count("*").alias("weight"))
+    classes = common.materialise(classes.withColumn("id", F.monotonically_increasing_id()), "vector-classes")
+    sizes = {r["bytes"]: r["n"] for r in classes.groupBy(F.length("unit").alias("bytes")).agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return own.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.when(F.col("vec_id").isNotNull(), True).alias("kept"))
+    met = spark.createDataFrame([], "a long, b long, n long")
+    for width, total in sorted(sizes.items()):
+        if total > 1:
+            met = met.unionByName(_links(classes.where(F.length("unit") == width), total, threshold, target_recall))
     counts = met.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     roots = common.connected_components(met.where("b is not null").select("a", "b"))
     named = classes.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))

@@ -397,6 +397,17 @@ def test_embeddings_equal_brute_force(spark):
     assert multiindex.near_duplicates(df.where("embedding is null")).collect()[0][1:] == (0, got[-6][0], True)
 
 
+def test_embeddings_of_each_length_are_compared(spark):
+    r = np.random.default_rng(4)
+    vectors = [v for size, n in ((32, 30), (8, 12), (1, 1)) for c in r.normal(size=(n, size)) for v in (c.tolist(), (c * 2).tolist(), (c + r.normal(size=size) * 0.001).tolist())]
+    got = {i: (n, c, kept) for i, n, c, kept in map(tuple, multiindex.near_duplicates(spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")).collect())}
+    assert len(got) == len(vectors)
+    unit = [multiindex.usable(v) for v in vectors]
+    links = [(i, j) for i in got for j in range(i) if len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= 0.9]
+    want, n = components(len(vectors), links), collections.Counter(i for l in links for i in l)
+    assert all(got[i] == (n[i], want[i], want[i] == i) for i in range(90, len(vectors)))
+
+
 def test_traversal_is_in_rising_order():
     r = np.random.default_rng(4)
     index = multiindex.Index(r.normal(size=(9, 4)), r.normal(size=(7, 4)))

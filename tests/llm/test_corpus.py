@@ -351,6 +351,17 @@ def test_pipeline_drops_texts_of_similarity_80(spark, sf_dir):
     assert stage(spark, df.limit(0), sf_dir).count() == 0
 
 
+def test_pipeline_keeps_rows_not_ids(spark, sf_dir):
+    import corpus_pipeline as p
+
+    r = random.Random(9)
+    a, b, c, d = (" ".join(f"w{r.randrange(5000)}" for _ in range(60)) for _ in range(4))
+    given = [(None, a), (None, b), (None, b + " end"), (1, c), (1, d), (2, c + " end"), (2, c + " end")]
+    kept = dict(p.STAGES)["simhash_near_dedup"](spark, spark.createDataFrame(given, "doc_id long, text string"), sf_dir).collect()
+    ids = [(r["doc_id"], r["text"].removesuffix(" end")) for r in kept]
+    assert sorted(ids, key=str) == sorted([(None, a), (None, b), (1, c), (1, d)], key=str)
+
+
 # op8
 
 

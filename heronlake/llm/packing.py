@@ -53,7 +53,9 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = True  # added tokens are cut out in ids()
+        self.added = {t.content: i.to_bytes(4, "little") for i, t in self.tok.get_added_tokens_decoder().items()}
+        self.cut_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else lambda text: [text]
         self.model = self.tok.model
         latin = [chr(i) for i in range(0x250)]
         letters, numbers = (re.escape("".join(c for c in latin if unicodedata.category(c)[0] == k)) for k in "LN")
@@ -74,15 +76,19 @@ class WordTokenizer:
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
         for text in texts:
-            text = text or ""
-            if self.other(text):
-                memory, parts = self.whole, re.split("[ \t\r\n]", text)
-            else:
-                memory, parts = self.part, self.cut(text.lower())
-            found = list(map(memory.young.get, parts))
-            if None in found:
-                found = [memory(p) if f is None else f for f, p in zip(found, parts)]
-            yield b"".join(found)
+            runs = self.cut_added(text or "")
+            yield b"".join([self.added[r] if i % 2 else self._run(r) for i, r in enumerate(runs)]) if len(runs) > 1 else self._run(runs[0])
+
+    def _run(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
+        if self.other(text):
+            memory, parts = self.whole, re.split("[ \t\r\n]", text)
+        else:
+            memory, parts = self.part, self.cut(text.lower())
+        found = list(map(memory.young.get, parts))
+        if None in found:
+            found = [memory(p) if f is None else f for f, p in zip(found, parts)]
+        return b"".join(found)
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

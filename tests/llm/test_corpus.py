@@ -143,6 +143,15 @@ def test_packing(spark, docs):
     assert packing.pack(docs.limit(0), path).count() == 0
 
 
+def test_added_tokens_have_the_librarys_ids():
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_file("word_bpe_49k.json")
+    own, library = packing.WordTokenizer(path), Tokenizer.from_file(path)
+    texts = ["hello <|endoftext|> world", "<|startoftext|>a<|endoftext|>", "日本 <|endoftext|>\tñ <|ENDOFTEXT|> x", "<|endoftext|><|endoftext|>don't", "plain text", ""]
+    assert [np.frombuffer(b, "<u4").tolist() for b in own.ids(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("histogram", [{}, {2048: 5}, {1500: 7, 600: 3}, {1025: 4}, {i: 3 for i in range(1, 2049, 7)}, {300: 100_000, 500: 70_000, 1100: 9000, 47: 5}])
 def test_plan_places_everything_tightly(histogram):
     planned = packing.plan(dict(histogram))

@@ -6,22 +6,27 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that Spark hands to Python at once; texts can be long, so batches stay short.
+#: Rows of texts that a worker works on at once; texts can be long.
 ARROW_ROWS = 256
 
 
 def scratch_dir(spark: SparkSession) -> str:
     """The folder shared by the cluster's machines (``spark.checkpoint.dir``).
 
-    Only where the session names none (tests, a laptop) a temporary folder is made, used and removed at exit.
+    Only where the session names none and runs on one machine (tests, a laptop) a temporary folder is made, used and
+    removed at exit; on a cluster each executor would write to a disk of its own, so a missing setting is an error there.
     """
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if conf:
         return conf.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
     own = getattr(spark.sparkContext, "_heronlake_scratch", None)
     if own is None:
         own = tempfile.mkdtemp(prefix="heronlake-")
@@ -42,9 +47,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def short_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound what a Python worker holds: by rows here, by bytes through Spark's own setting."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def parts(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS) -> Iterator[pa.RecordBatch]:
+    """Views of at most ``rows`` rows: bounds what a worker turns into Python objects, without a setting of the session.
+
+    The bytes of a batch are bounded by Spark itself (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB unless set).
+    """
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

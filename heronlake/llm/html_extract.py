@@ -366,12 +366,11 @@ def extract_pages(pages: DataFrame, model: Model | None = None, id_col: str = "p
     no rows and other columns are ignored. Pages are read whole.
     """
     spark = pages.sparkSession
-    common.short_batches(spark)
     held = spark.sparkContext.broadcast(model or default_model())
     schema = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.parts(batches):
             texts = [extract(h, held.value) for h in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 

@@ -169,10 +169,9 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col
     for name in names:
         if sizes[name] > sample_per_language:
             share = F.when(F.col("lang") == name, max(1, million * sample_per_language // sizes[name])).otherwise(share)
-    common.short_batches(train.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.parts(batches):
             by: dict[int, list[np.ndarray]] = {}
             for t, l in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 by.setdefault(index[l], []).append(grams(_codes(t)))
@@ -205,13 +204,12 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
     training language with score 0. Repeated rows each get their row.
     """
     spark = docs.sparkSession
-    common.short_batches(spark)
     held = spark.sparkContext.broadcast(model)
     keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
     schema = docs.select(*(F.col(f"`{c}`") for c in keep), F.lit("").alias(names[0]), F.lit(0.0).alias(names[1]), F.lit(0.0).alias(names[2])).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.parts(batches):
             lang, score, cover = held.value.predict(b.column(len(keep)).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(lang, pa.string()), pa.array(score), pa.array(cover)], [*keep, *names])
 

@@ -204,7 +204,6 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
-    common.short_batches(spark, 2000)
 
     def units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -60,7 +60,9 @@ class WordTokenizer:
         latin = [chr(i) for i in range(0x250)]
         letters, numbers = (re.escape("".join(c for c in latin if unicodedata.category(c)[0] == k)) for k in "LN")
         self.cut = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+").findall
-        self.other = re.compile("[^\t\n\r -~\u00a1-\u00ac\u00ae-\u024f]").search
+        plain = re.compile("[\t\n\r -~\u00a1-\u00ac\u00ae-\u024f]+").fullmatch
+        # capitals such as U+0186 lower-case to letters beyond this alphabet: texts with them are not plain
+        self.other = re.compile("[^" + re.escape("".join(c for c in latin if plain(c) and plain(c.lower()))) + "]").search
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]  # the byte-level alphabet: bytes that show stand for themselves
         self.byte = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
         self.part = common.Recent(self._part, cache_words)
@@ -93,12 +95,11 @@ class WordTokenizer:
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pieces of every document: its ids and end_id, cut every ``capacity`` ids. Null and empty texts: end_id alone."""
-    common.short_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _TOKENIZERS.get(tokenizer) or _TOKENIZERS.setdefault(tokenizer, WordTokenizer(tokenizer))
-        for b in batches:
+        for b in common.parts(batches):
             rows: list[tuple] = []
             for doc, ids in zip(b.column(0).to_pylist(), tok.ids(b.column(1).to_pylist())):
                 ids += end
@@ -244,22 +245,24 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
     """Pack all documents: (doc_id, piece, start, length, ids_crc32, sequence_id, offset), one row for each piece.
 
     Null and empty texts are one piece of end_id. Repeated rows and rows with a null doc_id are packed like any other, each
-    as its own document; an empty table gives no rows; other columns are ignored.
+    as its own document; ties between them are broken by the place in the table of pieces; an empty table gives no rows;
+    other columns are ignored.
     """
     spark = docs.sparkSession
-    cut = common.materialise(pieces(docs, tokenizer, capacity, end_id, id_col, text_col), "pack")
+    # the numbers are written with the pieces, so equal rows keep theirs, and spread over the buckets of ranks
+    cut = common.materialise(pieces(docs, tokenizer, capacity, end_id, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "pack")
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity rows
     buckets = max(1, sum(histogram.values()) // BUCKET_PIECES)
     found = spark.sparkContext.broadcast(places(plan(histogram, capacity)))
-    salted = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
+    salted = cut.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int"))
     sizes = salted.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = sizes.select("length", "bucket", (F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")).alias("before"))
-    rank = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece")) - 1
+    rank = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("row")) - 1
     ranked = salted.withColumn("within", rank).join(before, ["length", "bucket"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("within")).alias("rank"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = found.value
-        for b in batches:
+        for b in common.parts(batches):
             length, rank = (b.column(i).to_numpy(zero_copy_only=False) for i in (3, 5))
             sequence, offset = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
             for l in np.unique(length):
@@ -271,5 +274,4 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
                 offset[at] = off[k] + inside % many[k] * l
             yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(sequence), pa.array(offset)], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")  # numbers only
     return ranked.mapInArrow(run, PIECE_SCHEMA + ", sequence_id long, offset long")

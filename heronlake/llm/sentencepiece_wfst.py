@@ -239,12 +239,11 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
     pass through, an empty table gives no rows, other columns are ignored. Texts are read whole.
     """
     spark = docs.sparkSession
-    common.short_batches(spark)
     held = _model(spark, model_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = _compiled(held.value)
-        for b in batches:
+        for b in common.parts(batches):
             texts = b.column(1).to_pylist()
             coded = list(map(fst.encode, texts))
             flat = np.frombuffer(b"".join(coded), "<u4").astype(np.int32)
@@ -263,12 +262,11 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
 def decode(coded: DataFrame, model_file: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(doc_id, text) of rows of ids; null ids give a null text, null elements are left out."""
     spark = coded.sparkSession
-    common.short_batches(spark)
     held = _model(spark, model_file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = _compiled(held.value)
-        for b in batches:
+        for b in common.parts(batches):
             texts = [None if x is None else fst.decode(np.array([i for i in x if i is not None], np.int64)) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
 

@@ -51,10 +51,9 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp long): the signed form of each row's fingerprint, one row for each input row."""
-    common.short_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.parts(batches):
             fps = np.fromiter((fingerprint(t.as_py()) for t in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
@@ -195,12 +194,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     and their component's smallest non-null doc_id (null if it has none). Repeated rows come back as often as they
     came. An empty table gives an empty result; other columns are ignored.
     """
-    spark = docs.sparkSession
     rows = common.materialise(with_fingerprints(docs, id_col, text_col), "simhash")
     classes = common.materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-classes")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")  # numbers only from here on
     roots = common.connected_components(common.materialise(links(classes.select("fp"), max_distance), "simhash-links"))
-    common.short_batches(spark)
     linked = classes.join(roots.withColumnRenamed("node", "fp"), "fp")
     lows = linked.groupBy("root").agg(F.min("low").alias("least"))
     named = linked.join(lows, "root").select("fp", "least")

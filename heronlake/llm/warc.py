@@ -25,6 +25,8 @@ from heronlake.llm import common
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 SPLIT_BYTES = 8 << 20
+#: Most tasks of one read; from so many ranges on a task takes several.
+READ_TASKS = 20_000
 READ_BYTES = 1 << 20
 DATE = "1970-01-01T00:00:00Z"
 
@@ -120,7 +122,6 @@ def write_pages(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     nor a common host makes a hot task. A task writes under a name of its own attempt and reports it, so a repeated task
     leaves only an unreported file behind.
     """
-    common.short_batches(pages.sparkSession)
     body = F.encode(F.coalesce(F.col(f"`{payload_col}`"), F.lit("")), "UTF-8")
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{url_col}`").alias("url"), body.alias("body")).withColumn("sha1", F.unhex(F.sha1("body")))
     rows = rows.withColumn("k", F.concat("sha1", F.coalesce(F.encode(F.col("id").cast("string"), "UTF-8"), F.lit(b""))))
@@ -132,7 +133,7 @@ def write_pages(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
         out, path, n, size, answered = None, "", 0, 0, set()
-        for b in batches:
+        for b in common.parts(batches):
             for i, url, body, sha, shared, first in zip(*(c.to_pylist() for c in b.columns)):
                 if out is None:
                     fs.create_dir(root, recursive=True)
@@ -161,8 +162,8 @@ def read_archives(spark: SparkSession, folder: str, archives: DataFrame, split_b
     """All records of archives (path, bytes): (record_id, record_type, url, payload_bytes, payload_digest, refers_to, payload).
 
     payload_bytes and payload_digest are those of the full payload: measured on the block of a response, from the headers of
-    a revisit. payload is null unless asked for (and for revisits). No archives: no rows. Each task takes whole ranges; a
-    lost task reads its ranges again.
+    a revisit. payload is null unless asked for (and for revisits). No archives: no rows. Each task takes whole ranges, one
+    up to READ_TASKS of them; a lost task reads its ranges again.
     """
     ranges = archives.select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("bytes") - 1) / split_bytes))).alias("k")).select("path", "bytes", (F.col("k") * split_bytes).alias("start"))
     schema = "record_id string, record_type string, url string, payload_bytes long, payload_digest string, refers_to string, payload binary"
@@ -174,7 +175,7 @@ def read_archives(spark: SparkSession, folder: str, archives: DataFrame, split_b
             kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["record_id", "record_type", "url", "payload_bytes", "payload_digest", "refers_to", "payload"])
 
-        for b in batches:
+        for b in common.parts(batches):
             for path, size, start in zip(*(c.to_pylist() for c in b.columns)):
                 rows, held = [], 0
                 with fs.open_input_file(path) as f:
@@ -190,7 +191,9 @@ def read_archives(spark: SparkSession, folder: str, archives: DataFrame, split_b
                 if rows:
                     yield batch(rows)
 
-    return ranges.repartition(F.xxhash64("path", "start")).mapInArrow(run, schema)
+    # a stated number of partitions: ranges are tiny rows, which adaptive execution would merge into one task
+    tasks = archives.agg(F.sum(F.ceil(F.col("bytes") / split_bytes))).first()[0] or 1
+    return ranges.repartition(int(min(tasks, READ_TASKS))).mapInArrow(run, schema)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:

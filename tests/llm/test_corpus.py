@@ -152,6 +152,35 @@ def test_added_tokens_have_the_librarys_ids():
     assert [np.frombuffer(b, "<u4").tolist() for b in own.ids(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_ids_equal_the_library_on_random_text():
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_file("word_bpe_49k.json")
+    own, library, r = packing.WordTokenizer(path), Tokenizer.from_file(path), random.Random(1)
+    latin = [chr(i) for i in range(0x20, 0x250)]
+    capitals = [*"abcdeABCDE '.,12ƁƆƉƊƏƐƓƔƖƗƜƝƟƦƩƮƱƲƷȺȾɄɅİ"]  # lower-casing leads out of the Latin blocks
+    blocks = ((0x300, 0x340), (0x370, 0x45F), (0x600, 0x650), (0x900, 0x950), (0x1E00, 0x1EFF), (0x2000, 0x2030), (0x2120, 0x2140), (0x4E00, 0x4E40), (0xA640, 0xA680), (0x10400, 0x10450), (0x1F600, 0x1F620))
+    mixed = [chr(i) for a, b in blocks for i in range(a, b)]
+    for k in range(10_000):
+        pool = (latin, capitals, mixed + [*" abcABC"], latin + mixed)[k % 4]
+        text = "".join(r.choice(["<|endoftext|>", "<|startoftext|>", "\n", "\t \r"]) if r.random() < 0.06 else r.choice(pool) for _ in range(r.randint(0, 30)))
+        assert np.frombuffer(next(own.ids([text])), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
+def test_equal_rows_spread_over_rank_buckets(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BUCKET_PIECES", 50)
+    got = packing.pack(spark.createDataFrame([(None, None)] * 2000, "doc_id long, text string"), queries.tokenizer_file("word_bpe_49k.json")).collect()
+    assert sorted((r["sequence_id"], r["offset"]) for r in got) == [(0, i) for i in range(2000)]
+
+
+def test_sessions_keep_their_settings(spark, docs):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    packing.pack(docs, queries.tokenizer_file("word_bpe_49k.json")).count()
+    simhash.near_duplicates(docs).count()
+    assert spark.conf.get(key) == before
+
+
 @pytest.mark.parametrize("histogram", [{}, {2048: 5}, {1500: 7, 600: 3}, {1025: 4}, {i: 3 for i in range(1, 2049, 7)}, {300: 100_000, 500: 70_000, 1100: 9000, 47: 5}])
 def test_plan_places_everything_tightly(histogram):
     planned = packing.plan(dict(histogram))
@@ -466,6 +495,15 @@ def test_archives(spark, sf_dir, same_as_sql, tmp_path):
         assert sorted(bytes(r["payload"]).decode() for r in back) == sorted(r["html"] for r in pages.collect())
 
 
+def test_ranges_are_dealt_to_many_tasks(spark, sf_dir, tmp_path):
+    folder = f"file://{tmp_path}/b"
+    archives = warc.write_pages(spark.read.parquet(f"{sf_dir}/pages.parquet").coalesce(1), folder).cache()
+    split = archives.agg(F.sum("bytes")).first()[0] // 200
+    back = warc.read_archives(spark, folder, archives, split)
+    tasks = back.withColumn("task", F.spark_partition_id()).select("task").distinct().count()
+    assert back.rdd.getNumPartitions() >= 200 and tasks > 20
+
+
 def test_reader_skips_false_members(tmp_path):
     path = tmp_path / "x.warc.gz"
     good = warc.record({"WARC-Type": "response"}, b"abc")

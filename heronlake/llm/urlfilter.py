@@ -2,12 +2,14 @@
 
 Written rules name a host (with its subdomains) and a path prefix; the longest that fits decides. They also label URLs:
 FP-growth mines combinations of URL tokens together with the label, and combinations of enough support and confidence
-become rules that judge the URLs which no written rule fits. A combination's confidence counts unlabelled URLs as not
-blocked, so a token that is merely common among blocked URLs blocks nothing else.
+become rules that judge the URLs which no written rule fits. Confidence counts labelled URLs alone, blocked against
+allowed; a lift over all URLs holds off tokens that are merely common, and rules that only restate written ones go.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
@@ -16,8 +18,6 @@ from pyspark.sql import functions as F
 
 from heronlake.llm import common
 
-BLOCKED = "verdict=block"
-
 
 @dataclass(frozen=True)
 class UrlRule:
@@ -41,7 +41,11 @@ BASE_RULES = (
 #: Pruning of mined rules.
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.95
+MIN_LIFT = 1.2
 MAX_TOKENS = 3
+#: Items of one URL up to which FP-growth runs over it whole, and items in a block beyond.
+LONG_URL = 16
+BLOCK_ITEMS = 5
 
 
 def _low(c: Column) -> Column:
@@ -81,25 +85,80 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.coalesce(F.concat(F.array(scheme, ending), labels, segments, names), F.array().cast("array<string>")))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> list[tuple[list[str], float]]:
+def _items(groups: DataFrame) -> DataFrame:
+    """(token, item): tokens that occur in exactly the same URLs are one item, named by the smallest of them.
+
+    groups: distinct (tokens, label, n) rows. Equal sets of groups are told by their number and the sums of two hashes.
+    """
+    spread = groups.select(F.xxhash64("tokens", "label").alias("a"), F.xxhash64("label", "tokens", F.lit(1)).alias("b"), F.explode("tokens").alias("token"))
+    marks = spread.groupBy("token").agg(F.count("*").alias("k"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
+    return marks.groupBy("k", "a", "b").agg(F.min("token").alias("item"), F.collect_list("token").alias("all")).select("item", F.explode("all").alias("token"))
+
+
+def _frequent_sets(blocked: DataFrame, least: int, max_tokens: int, long: int = LONG_URL, block: int = BLOCK_ITEMS) -> DataFrame:
+    """(items sorted, hits): sets of at most max_tokens items that at least ``least`` of the rows of items hold, by FP-growth.
+
+    FP-growth also enumerates larger sets, so a URL family with many items (names of a long query) would take time with
+    the power of their number. From ``long`` items in one row on, the items are dealt into small blocks and every row is
+    mined once for each choice of max_tokens blocks, its items marked with that choice: each small set lies in some
+    choice, and no larger set spans more than max_tokens blocks.
+    """
+    if (blocked.agg(F.max(F.size("items"))).first()[0] or 0) > long:
+        known = sorted(r["item"] for r in blocked.select(F.explode("items").alias("item")).distinct().collect())
+        parts = [known[i : i + block] for i in range(0, len(known), block)]
+        choices = list(itertools.combinations(range(len(parts)), min(max_tokens, len(parts))))
+        of = F.create_map(*(x for i, part in enumerate(parts) for item in part for x in (F.lit(item), F.lit(i))))
+        placed = blocked.select("items", F.transform("items", lambda x: F.try_element_at(of, x)).alias("at"))
+        chosen = F.explode(F.array(*(F.struct(F.lit(c).alias("c"), F.array(*map(F.lit, own)).alias("own")) for c, own in enumerate(choices)))).alias("choice")
+        mark = F.concat(F.col("choice.c").cast("string"), F.lit("|"))
+        own_items = F.filter(F.transform("items", lambda x, i: F.when(F.array_contains("choice.own", F.get("at", i)), F.concat(mark, x))), lambda x: x.isNotNull())
+        blocked = placed.select("items", "at", chosen).select(own_items.alias("items")).where(F.size("items") > 0)
+    total = blocked.count()
+    model = FPGrowth(itemsCol="items", minSupport=max(0.0, (least - 0.5) / max(1, total))).fit(blocked)
+    plain = F.transform("items", lambda x: F.regexp_replace(x, r"^\d+\|", ""))
+    return common.materialise(model.freqItemsets.where(F.size("items") <= max_tokens).select(F.array_sort(plain).alias("items"), F.col("freq").alias("hits")).distinct(), "url-itemsets")
+
+
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS, min_lift: float = MIN_LIFT) -> list[tuple[list[str], float]]:
     """Token combinations (at most max_tokens) that imply a block: [(tokens, confidence)].
 
-    labelled: tokens array<string>, label (block, allow or null). Supports and confidences are over all rows. Combinations
-    that contain a shorter rule are pruned: they fire on nothing more. Their number is bounded by the support, not by the
-    rows: each item of a frequent set is in at least min_support of them.
+    labelled: tokens array<string>, label (block, allow or null). Support: blocked URLs with the combination, of all
+    labelled ones. Confidence: (blocked + 1) / (labelled + 2) among the URLs with the combination, so a few URLs are no
+    evidence. Lift: the blocked share of all URLs with the combination, unlabelled ones too, over that share of all URLs;
+    it holds off tokens that are merely common. Combinations that fire on labelled URLs only restate written rules and are
+    dropped, as are those that contain a shorter rule. Their number is bounded by the support, not by the rows: a blocked
+    URL's tokens and one part in min_support of the labelled URLs.
     """
-    items = labelled.select(F.when(F.col("label") == "block", F.concat("tokens", F.array(F.lit(BLOCKED)))).otherwise(F.col("tokens")).alias("items")).where(F.size("items") > 0)
-    if not items.limit(1).count():
+    rows = labelled.select("tokens", "label").where(F.size("tokens") > 0)
+    totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    n_labelled, n_all = totals.get("block", 0) + totals.get("allow", 0), sum(totals.values())
+    if not totals.get("block"):
+        return []
+    least = max(1, math.ceil(min_support * n_labelled))
+    frequent = rows.where("label = 'block'").select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    names = sorted(r["t"] for r in frequent.collect())  # bounded by the support
+    if not names:
         return []
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
-    sets = common.materialise(model.freqItemsets.where(F.size("items") <= max_tokens + 1), "url-itemsets")
-    with_block = sets.where(F.array_contains("items", BLOCKED) & (F.size("items") > 1)).select(F.array_sort(F.array_remove("items", BLOCKED)).alias("t"), F.col("freq").alias("hits"))
-    alone = sets.where(~F.array_contains("items", BLOCKED)).select(F.array_sort("items").alias("t"), F.col("freq").alias("n"))
-    found = with_block.join(alone, "t").select("t", (F.col("hits") / F.col("n")).alias("confidence")).where(F.col("confidence") >= min_confidence)
+    known = F.array(*map(F.lit, names))
+    # only frequent tokens can be in a rule: distinct sets of them, each with its number of URLs, stand for all rows
+    groups = rows.select(F.array_sort(F.array_intersect("tokens", known)).alias("tokens"), "label").groupBy("tokens", "label").agg(F.count("*").alias("n"))
+    groups = common.materialise(groups.where(F.size("tokens") > 0).withColumn("g", F.monotonically_increasing_id()), "url-groups")
+    items = common.materialise(_items(groups), "url-items")
+    item_of = {r["token"]: r["item"] for r in items.collect()}
+    kept_items = F.array(*map(F.lit, sorted(set(item_of.values()))))
+    own = F.array_intersect("tokens", kept_items)
+    blocked = rows.where("label = 'block'").select(F.array_intersect(F.array_sort("tokens"), kept_items).alias("items")).where(F.size("items") > 0)
+    sets = _frequent_sets(blocked, least, max_tokens).where(F.col("hits") >= least)
+    wanted = sets.select("items", "hits", F.size("items").alias("need"), F.explode("items").alias("t"))
+    held = groups.select("g", "label", "n", F.explode(own).alias("t"))
+    met = held.join(wanted, "t").groupBy("g", "label", "n", "items", "hits", "need").agg(F.count("*").alias("m")).where(F.col("m") == F.col("need"))
+    counted = met.groupBy("items", "hits").agg(F.sum("n").alias("total"), F.sum(F.when(F.col("label") == "allow", F.col("n")).otherwise(0)).alias("allowed"))
+    fits_ = (F.col("hits") + 1 >= min_confidence * (F.col("hits") + F.col("allowed") + 2)) & (F.col("hits") * F.lit(float(n_all)) >= min_lift * F.col("total") * totals["block"])
+    found = counted.where(fits_ & (F.col("hits") + F.col("allowed") < F.col("total"))).select("items", ((F.col("hits") + 1) / (F.col("hits") + F.col("allowed") + 2)).alias("confidence"))
     kept: list[tuple[list[str], float]] = []
-    for r in sorted(found.collect(), key=lambda r: (len(r["t"]), r["t"])):
-        if not any(set(k) <= set(r["t"]) for k, _ in kept):
-            kept.append((list(r["t"]), r["confidence"]))
+    for r in sorted(found.collect(), key=lambda r: (len(r["items"]), r["items"])):
+        if not any(set(k) <= set(r["items"]) for k, _ in kept):
+            kept.append((list(r["items"]), r["confidence"]))
     return kept
 
 
@@ -118,17 +177,18 @@ def fires(mined: list[tuple[list[str], float]], tokens_: Column) -> Column:
     return F.exists(F.array_distinct(named), lambda r: F.size(F.filter(named, lambda x: x == r)) == F.get(need, r))
 
 
-def judge(pages: DataFrame, rules: tuple[UrlRule, ...] = BASE_RULES, id_col: str = "page_id", url_col: str = "url", min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
+def judge(pages: DataFrame, rules: tuple[UrlRule, ...] = BASE_RULES, id_col: str = "page_id", url_col: str = "url", min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS, min_lift: float = MIN_LIFT) -> DataFrame:
     """(page_id, host, path, rule, verdict) for every row.
 
     Null URLs and URLs without :// have an empty host and path, fit no rule and are allowed unless a mined rule fires. Rows
-    repeat as they came, null ids pass through, an empty table gives no rows and other columns are ignored.
+    repeat as they came, null ids pass through, an empty table gives no rows and other columns are ignored. URLs are cut
+    into tokens whole, however long; of two rules of one length the later by name wins.
     """
     url = F.coalesce(F.col(f"`{url_col}`"), F.lit(""))
     cut = pages.select(F.col(f"`{id_col}`").alias("page_id"), url.alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
     host, path = F.col("host"), F.col("path")
     rows = cut.select("page_id", "host", "path", longest_rule(rules, host, path, lambda r: r.name).alias("rule"), longest_rule(rules, host, path, lambda r: r.verdict).alias("label"), tokens(F.col("url"), host, path).alias("tokens"))
-    mined = mine(rows.select("tokens", "label"), min_support, min_confidence, max_tokens)
+    mined = mine(rows, min_support, min_confidence, max_tokens, min_lift)
     verdict = F.coalesce("label", F.when(fires(mined, F.col("tokens")), F.lit("block")).otherwise(F.lit("allow")))
     return rows.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
 
@@ -149,8 +209,10 @@ t AS (SELECT DISTINCT k, t FROM (
   UNION ALL SELECT k, 'q=' || string_split(q, '=')[1] FROM (SELECT k, unnest(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda x: x <> '')) AS q FROM h))),
 c AS (SELECT k, t AS a, t AS b, t AS c FROM t UNION ALL SELECT x.k, x.t, x.t, y.t FROM t x JOIN t y ON x.k = y.k AND x.t < y.t
   UNION ALL SELECT x.k, x.t, y.t, z.t FROM t x JOIN t y ON x.k = y.k AND x.t < y.t JOIN t z ON x.k = z.k AND y.t < z.t),
-m AS (SELECT a, b, c FROM c LEFT JOIN f USING (k) GROUP BY a, b, c
-  HAVING count(*) FILTER (label = 'block') >= {MIN_SUPPORT} * (SELECT count(*) FROM h) AND count(*) FILTER (label = 'block') >= {MIN_CONFIDENCE} * count(*)),
+l AS (SELECT count(*) FILTER (label = 'block') AS blocked, count(label) AS labelled, count(*) AS total FROM h LEFT JOIN f USING (k)),
+n AS (SELECT a, b, c, count(*) FILTER (label = 'block') AS hits, count(*) FILTER (label = 'allow') AS allowed, count(*) AS total FROM c LEFT JOIN f USING (k) GROUP BY a, b, c),
+m AS (SELECT a, b, c FROM n, l WHERE hits >= greatest(1, ceil({MIN_SUPPORT} * labelled)) AND hits + 1 >= {MIN_CONFIDENCE} * (hits + allowed + 2)
+  AND CAST(hits AS DOUBLE) * l.total >= {MIN_LIFT} * n.total * blocked),
 x AS (SELECT DISTINCT k FROM c JOIN m USING (a, b, c))
 SELECT page_id, host, path, rule, CASE WHEN label IS NOT NULL THEN label WHEN x.k IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
 FROM h LEFT JOIN f USING (k) LEFT JOIN x USING (k)

@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import html
+import itertools
 import random
 import re
 import zlib
@@ -423,6 +424,44 @@ def test_mined_rules_judge_unruled_urls(spark):
     assert got[200] == "block" and got[201] == "allow" and got[5] == "block" and got[105] == "allow"
 
 
+def test_mined_rules_decide_on_whole_tables(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.1"
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW pages AS SELECT * FROM '{sf}/pages.parquet'")
+    got = queries.op8_url_filter(spark, sf).collect()
+    assert collections.Counter(tuple(r) for r in got) == collections.Counter(c.sql(urlfilter.JUDGE_SQL).fetchall())
+    unruled = collections.Counter(r["verdict"] for r in got if r["rule"] is None)
+    assert 50 < unruled["block"] < unruled["allow"] / 4  # mined rules block, but not at large
+
+
+def _set_counts(rows, most):
+    found = collections.Counter()
+    for own in rows:
+        for k in range(1, most + 1):
+            found.update(itertools.combinations(sorted(own), k))
+    return found
+
+
+def test_frequent_sets_of_long_urls(spark):
+    r = random.Random(6)
+    rows = [sorted({f"q=n{j}" for j in range(24) if r.random() < 0.5}) for _ in range(60)]
+    want = {k: n for k, n in _set_counts(rows, 3).items() if n >= 9}
+    df = spark.createDataFrame([(x,) for x in rows if x], "items array<string>")
+    for long in (8, 10):  # in blocks, whatever their size
+        got = urlfilter._frequent_sets(df, 9, 3, long=long, block=long // 2).collect()
+        assert {tuple(x["items"]): x["hits"] for x in got} == want and len(got) == len(want)
+
+
+def test_urls_with_many_query_names(spark):
+    names = "&".join(f"name{i}=1" for i in range(30))
+    rows = [(i, f"http://x.com/en/{i}?{names}") for i in range(60)] + [(100 + i, f"http://x.com/fr/{i}?{names}") for i in range(5)] + [(200 + i, f"http://y.net/fr/{i}") for i in range(40)]
+    rows.append((300, "http://x.com/fr/" + "x" * 100_000 + "?" + "&".join(f"n{i}" for i in range(20_000))))
+    got = collections.Counter((r["page_id"] // 100, r["verdict"]) for r in urlfilter.judge(spark.createDataFrame(rows, "page_id long, url string")).collect())
+    assert got[0, "block"] == 60 and got[1, "block"] == 5 and got[2, "allow"] == 40 and got[3, "block"] + got[3, "allow"] == 1
+
+
 # op9
 
 

@@ -7,6 +7,7 @@ import html
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -277,6 +278,76 @@ def test_licenses_equal_brute_force(spark, docs):
     assert licenses.label_documents(docs.limit(0)).count() == 0
 
 
+def brute_spans(text, templates):
+    """The definition of a span, hit by hit."""
+    k, out = licenses.K, []
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_low(text or ""))
+    for t in templates:
+        own = t.words
+        at = collections.defaultdict(list)
+        for j in range(len(own) - k + 1):
+            at[tuple(own[j : j + k])].append(j)
+        hits = [(p - j, p, j) for p in range(len(w) - k + 1) for j in at.get(tuple(w[p : p + k]), ())]
+        votes, tlen = collections.Counter(d for d, _, _ in hits), len(own) - k + 1
+        out += [(t.label, t.base, d, d + len(own) - 1, 1.0) for d, n in votes.items() if n == tlen]
+        groups = []
+        for h in sorted(h for h in hits if votes[h[0]] < tlen):
+            if groups and h[0] - groups[-1][-1][0] <= licenses.MERGE:
+                groups[-1].append(h)
+            else:
+                groups.append([h])
+        for group in groups:
+            best = {}
+            for d, p, j in group:
+                best[p] = min(best.get(p, (1, 0, 0)), (-votes[d], j, d))
+            chains = []
+            for p in sorted(best):
+                _, j, d = best[p]
+                if chains and p - chains[-1][-1][0] <= licenses.GAP and j > chains[-1][-1][1] and abs(d - chains[-1][-1][2]) <= licenses.MERGE:
+                    chains[-1].append((p, j, d))
+                else:
+                    chains.append([(p, j, d)])
+            for c in chains:
+                if len(c) >= licenses.LEAST * tlen and c[-1][0] + k - c[0][0] <= licenses.STRETCH * len(own):
+                    out.append((t.label, t.base, c[0][0], c[-1][0] + k - 1, len(c) / tlen))
+    return out
+
+
+def test_own_labels_equal_brute_force(spark):
+    r, rows = random.Random(11), []
+    texts = [t.text for t in licenses.TEMPLATES]
+    for i in range(120):
+        parts = []
+        for _ in range(r.randint(1, 3)):
+            w = r.choice(texts).split()
+            for _ in range(r.choice([0, 0, 1, 2, 4, 12])):
+                at = r.randrange(len(w))
+                w[at : at + r.randint(0, 2)] = [r.choice(["foo", "the", "license"]) for _ in range(r.randint(0, 4))]
+            parts.append(" ".join(w[: r.randint(1, 2 * len(w))]) + r.choice([" ", " filler words " * r.randint(0, 9)]))
+        rows.append((i, "".join(parts)))
+    rows += [(200, "the license you may not use this file " * 300), (201, "permission is hereby granted " * 40), (202, "cc by nc " * 50)]
+    want, seen = {}, 0
+    for i, text in rows:
+        spans = brute_spans(text, licenses.TEMPLATES)
+        want[i] = (",".join(sorted({s[0] for s in spans})), max((s[4] for s in spans), default=0.0), len([s for s in spans if s[1] and s[4] == 1.0]))
+        seen += any(s[4] < 1 for s in spans)
+    assert seen > 20
+    got = licenses.label_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {g["doc_id"]: (g["labels"], g["score"], g["n_base"]) for g in got} == want
+
+
+def test_licenses_of_very_long_texts(spark):
+    df = spark.createDataFrame([(1, "licensed under the apache license version 2 0 x " * 50_000)], "doc_id long, text string")
+    began = time.perf_counter()
+    got = licenses.label_documents(df).collect()
+    assert got[0]["n_words"] == 450_000 and got[0]["n_base"] == 50_000 and time.perf_counter() - began < 30
+
+
+def test_templates_are_checked(spark, docs):
+    with pytest.raises(ValueError):
+        licenses.scan(docs, licenses.template_table(spark, (licenses.Template("x", "two words"),)))
+
+
 # op6
 
 

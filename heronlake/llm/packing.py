@@ -17,6 +17,7 @@ no hot key.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import unicodedata
@@ -33,7 +34,7 @@ from heronlake.llm import common
 CAPACITY = 2048
 END_ID = 0
 #: Pre-tokens whose ids a worker remembers in each of two generations.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 #: Pieces that one rank bucket holds on average.
 BUCKET_PIECES = 20_000
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -93,12 +94,18 @@ class WordTokenizer:
         return b"".join(found)
 
 
+@functools.cache
+def _tokenizer(path: str) -> WordTokenizer:
+    """One for each worker: tasks find this function by name, whereas a dict beside them would travel with each task."""
+    return WordTokenizer(path)
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pieces of every document: its ids and end_id, cut every ``capacity`` ids. Null and empty texts: end_id alone."""
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _TOKENIZERS.get(tokenizer) or _TOKENIZERS.setdefault(tokenizer, WordTokenizer(tokenizer))
+        tok = _tokenizer(tokenizer)
         for b in common.parts(batches):
             rows: list[tuple] = []
             for doc, ids in zip(b.column(0).to_pylist(), tok.ids(b.column(1).to_pylist())):
@@ -112,7 +119,6 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
 
 
 _PIECE_TYPES = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-_TOKENIZERS: dict[str, WordTokenizer] = {}
 
 
 def price(weights: np.ndarray, capacity: int) -> dict[int, int]:

@@ -1,27 +1,30 @@
 """Main-text extraction by a tree-structured graphical model over the DOM.
 
 Every block-level element, and every run of text beside blocks, is a variable with three states: boilerplate, content, and
-mixed (a wrapper of both). Node potentials come from the tag, attribute words, amount of text and share of links;
-parent-child potentials say how states nest. Both are estimated on labelled pages (``labelled_pages``: generated layouts
-with known states). One upward and one downward sum-product pass give every node's exact marginal; the text blocks whose
-content marginal is over one half make up the result.
+mixed (a wrapper of both). Node potentials come from what a node shows: tag, attribute words, amount and kind of text, share
+of links, controls, place on the page, headings over it. Parent-child potentials say how states nest. Both are estimated on
+labelled pages (default: ``html_pages.labelled_pages``): node potentials by a log-linear classifier whose class priors are
+divided out, nesting by counts. One upward and one downward sum-product pass give every node's exact marginal; the text
+blocks whose content marginal is over one half make up the result.
 """
 
 from __future__ import annotations
 
+import functools
 import html as html_lib
 import math
-import random
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heronlake.llm import common
+from heronlake.llm.html_pages import labelled_pages
 
 STATES = "bcm"  # boilerplate, content, mixed
 B, C, M = range(3)
@@ -29,14 +32,20 @@ _BLOCK = frozenset(
     "html body div section article main header footer nav aside form fieldset ul ol li dl dt dd table caption thead tbody tfoot tr td th p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption address details summary menu dialog center hgroup search".split()
 )
 _LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th caption figcaption summary pre address blockquote".split())
-_PART = frozenset("article section main div aside header footer nav".split())
+_HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+_PART = frozenset("article section main aside header footer nav form table ul ol dl td li figure blockquote".split())
 _RAW = frozenset("script style textarea title noscript iframe template svg xmp select button object".split())
-_VOID = frozenset("br hr img input meta link wbr area base col embed source track param".split())
-#: Tags whose start closes an open element of the second kind, up to the nearest container.
+_CONTROL = frozenset("input button select textarea label".split())
+#: Tags whose start closes an open element of the second kind; the search for it passes only over the third kind.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+_OPEN = frozenset("p li dt dd td th tr".split())
 _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|!\[CDATA\[(.*?)(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+(?=>|\Z)|[^>]*+)(?:>|\Z))", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_WORD = re.compile(r"[a-z]+")
+_ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|aria-label|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_WORD = re.compile(r"[a-z]+|[A-Z]+[a-z]*")
+_TOKEN = re.compile(r"[^\W\d_]+")
+_ENDS = re.compile(r"[.!?\u2026\u3002\uff01\uff1f:][\"'\u201d\u2019)\]]*$")
+_DATE = re.compile(r"\b(?:19|20)\d\d\b|\b\d{1,2}[./]\d{1,2}\b")
+_LEGAL = re.compile(r"\u00a9|\(c\)|copyright|all rights reserved", re.I)
 
 
 @dataclass
@@ -47,19 +56,25 @@ class Node:
     label: str = ""
     chars: int = 0
     linked: int = 0
+    controls: int = 0
     text: list[str] = field(default_factory=list)
     end: bool = False
 
 
 def parse(page: str) -> list[Node]:
-    """Nodes in document order, parents first; node 0 is the page. Unclosed and stray tags are allowed, as browsers do."""
+    """Nodes in document order, parents first; node 0 is the page. Unclosed and stray tags are allowed, as browsers do.
+
+    Linear in the page: a closing tag looks for its element only where one is open, and then closes all that it passes.
+    """
     nodes = [Node("html", -1)]
     stack = [0]  # open block nodes
+    open_tags: Counter = Counter()
     run = -1  # the text node that takes text now
-    in_link = False
+    link_at = 0  # open blocks where the open link began; 0: no link is open
     at = 0
     found = _TAG.search(page, 0)
     lower = None
+    has_body = False
 
     def put(text: str) -> None:
         nonlocal run
@@ -80,7 +95,7 @@ def parse(page: str) -> list[Node]:
         own.text.append(text)
         n = len(text)
         own.chars += n
-        if in_link:
+        if link_at:
             own.linked += n
 
     def flush() -> None:
@@ -89,6 +104,15 @@ def parse(page: str) -> list[Node]:
             nodes[run].end = True
         run = -1
 
+    def cut(i: int) -> None:
+        """Close the open blocks from place i of the stack on."""
+        nonlocal link_at
+        for k in stack[i:]:
+            open_tags[nodes[k].tag] -= 1
+        del stack[i:]
+        if link_at > i:
+            link_at = 0
+
     while found:
         put(page[at : found.start()])
         at = found.end()
@@ -97,6 +121,8 @@ def parse(page: str) -> list[Node]:
             put(cdata)
         elif tag:
             tag = tag.lower()
+            if tag in _CONTROL and not closing:
+                nodes[stack[-1]].controls += 1
             if tag in _RAW or tag == "head":
                 if not closing and not attributes.rstrip().endswith("/"):
                     if lower is None:
@@ -111,24 +137,27 @@ def parse(page: str) -> list[Node]:
                     elif tag != "head":
                         at = len(page)
             elif tag in _BLOCK:
-                in_link = False
                 flush()
                 if closing:
-                    for i in range(len(stack) - 1, 0, -1):
-                        if nodes[stack[i]].tag == tag:
-                            del stack[i:]
-                            break
-                elif tag not in ("html", "body") or not any(n.tag == "body" for n in nodes[:2]):
+                    if open_tags[tag]:
+                        i = len(stack) - 1
+                        while nodes[stack[i]].tag != tag:
+                            i -= 1
+                        cut(i)
+                elif tag not in ("html", "body") or not has_body:
+                    has_body = has_body or tag == "body"
                     shut = _CLOSES.get(tag)
-                    if nodes[stack[-1]].tag == "p" or (nodes[stack[-1]].tag[0] == "h" and tag[0] == "h" and tag[1:].isdigit() and nodes[stack[-1]].tag[1:].isdigit()):
-                        stack.pop()
-                    if shut:
+                    top = nodes[stack[-1]].tag
+                    if top == "p" or top in _HEADING and tag in _HEADING:
+                        cut(len(stack) - 1)
+                    if shut and any(open_tags[t] for t in shut):
                         for i in range(len(stack) - 1, 0, -1):
                             t = nodes[stack[i]].tag
                             if t in shut:
-                                del stack[i:]
-                                break
-                            if t in ("ul", "ol", "dl", "table", "div", "section", "article", "menu"):
+                                cut(i)
+                                if tag != "tr" or t == "tr":
+                                    break
+                            elif t not in _OPEN:
                                 break
                     names, label = _names(attributes) if "=" in attributes else ((), "")
                     if tag == "html":
@@ -137,11 +166,17 @@ def parse(page: str) -> list[Node]:
                         nodes[stack[-1]].end = True
                         nodes.append(Node(tag, stack[-1], names, label or nodes[stack[-1]].label))
                         stack.append(len(nodes) - 1)
-            elif tag == "br" or tag == "hr":
+                        open_tags[tag] += 1
+            elif tag == "br":
                 if run >= 0:
                     nodes[run].text.append(" ")
+            elif tag == "hr":
+                flush()
+                nodes[stack[-1]].end = True
+                if nodes[stack[-1]].tag == "p":
+                    cut(len(stack) - 1)
             elif tag == "a":
-                in_link = not closing
+                link_at = 0 if closing else len(stack)
         found = _TAG.search(page, at)
     put(page[at:])
     return nodes
@@ -154,29 +189,143 @@ def _names(attributes: str) -> tuple[tuple[str, ...], str]:
         if kind == "data-y":
             label = a
         else:
-            words += _WORD.findall((a or b or c).lower())
-    return tuple(dict.fromkeys(words)), label
+            words += [w.lower() for w in _WORD.findall(a or b or c)]
+    return tuple(dict.fromkeys(words[:24])), label
+
+
+def _share(part: float, whole: float) -> int:
+    """0: none, 1 to 4: up to a quarter, ..., all but a tenth, 5: nearly all."""
+    return 0 if not part else 1 + min(3, int(4 * part / whole)) + (part >= 0.9 * whole)
 
 
 def features(nodes: list[Node]) -> list[list[str]]:
-    """What each node shows: tag with the share of its subtree's text in links, amount of that text, attribute words."""
-    chars, linked = [n.chars for n in nodes], [n.linked for n in nodes]
-    for i in range(len(nodes) - 1, 0, -1):
-        chars[nodes[i].parent] += chars[i]
-        linked[nodes[i].parent] += linked[i]
+    """What each node shows; see the module's first lines. One pass up and one down."""
+    n = len(nodes)
+    chars, linked, controls = [x.chars for x in nodes], [x.linked for x in nodes], [x.controls for x in nodes]
+    said, blocks, last, heads = [0] * n, [0] * n, list(range(n)), [0] * n
+    lead: list[tuple[str, ...]] = [()] * n
+    own_text: list[str] = [""] * n
+    counts = [0] * n
+    for i in range(n - 1, -1, -1):
+        x = nodes[i]
+        if x.text:
+            own_text[i] = text = " ".join("".join(x.text).split())
+            if text:
+                counts[i] = k = text.count(" ") + 1
+                blocks[i] += 1
+                heads[i] += x.tag in _HEADING
+                if k > 4 and _ENDS.search(text[-6:]):
+                    said[i] += x.chars
+                if k <= 7:
+                    lead[i] = tuple(w.lower() for w in _TOKEN.findall(text) if len(w) > 3)
+        if i:
+            p = x.parent
+            chars[p] += chars[i]
+            linked[p] += linked[i]
+            controls[p] += controls[i]
+            said[p] += said[i]
+            blocks[p] += blocks[i]
+            heads[p] += heads[i]
+            last[p] = max(last[p], last[i])
+            if chars[i]:
+                lead[p] = lead[i]
+    mates: dict[tuple, list[int]] = {}  # what siblings of one tag and name hold together
+    for i in range(1, n):
+        own_mates = mates.setdefault((nodes[i].parent, nodes[i].tag, nodes[i].names), [0, 0, 0, 0])
+        for k, value in enumerate((chars[i], linked[i], said[i], 1)):
+            own_mates[k] += value
+    total = chars[0] or 1
+    title = next((i for i, x in enumerate(nodes) if x.tag == "h1" and x.text), None) or next((i for i, x in enumerate(nodes) if x.tag in ("h2", "h3") and x.text), None)
+    page_size = min(8, int(math.log(total + 1, 3)))
+    wrappers = sum(1 for x in nodes if x.tag in ("div", "section", "article", "main", "nav", "aside", "header", "footer", "td"))
+    flat = f"flat={min(wrappers, 3)}"
+    over: list[tuple[str, ...]] = [()] * n
+    heading_of: dict[int, tuple[str, ...]] = {}
+    inside: list[str] = [""] * n
+    before = 0
     out = []
-    flat = all(n.tag in _LEAF or n.tag in ("#text", "html", "body", "ul", "ol", "table", "tr", "figure") for n in nodes)
-    for n, c, l in zip(nodes, chars, linked):
-        group = "t" if n.tag in _LEAF or n.tag == "#text" else "w"
-        size = 0 if not c else min(6, int(math.log(c, 3)))
-        links = 0 if not l else 1 + min(3, int(4 * l / c))
-        out.append([f"tag={n.tag}/links={links}", f"{group}size={size}", *(f"name={w}" for w in n.names), *((f"unnamed={n.tag}",) if n.tag in _PART and not n.names else ())])
-    if flat:  # a page without any layout
-        for own in out:
-            own.append("flat")
+    for i, x in enumerate(nodes):
+        if i:
+            p = x.parent
+            over[i] = heading_of.get(p, over[p])
+            inside[i] = inside[p]
+            if nodes[p].tag in _PART:
+                inside[i] = f"{inside[p].rpartition('+')[2]}+{nodes[p].tag}" if inside[p] else nodes[p].tag
+        c = chars[i]
+        leaf = x.tag in _LEAF or x.tag == "#text"
+        g = "t" if leaf else "w"
+        size = 0 if not c else min(7, 1 + int(math.log(c, 3)))
+        links = _share(linked[i], c)
+        place = int(10 * before / total) if 0.05 * total < before < 0.95 * total else -1 if before < 0.05 * total else 10
+        where = "no" if title is None else "pre" if last[i] < title else "post" if i > title else "has"
+        own = ["bias", f"tag={x.tag}", f"{g}links={links}", f"{g}size={size}", f"tag={x.tag}/links={links}", f"{g}place={place}", f"{g}h1={where}", f"page={page_size}/{g}", f"{g}{flat}", f"{g}said={_share(said[i], c)}", f"{g}said={_share(said[i], c)}/size={size}", f"{g}in={inside[i]}"]
+        if i:
+            a, b, d, k = mates[x.parent, x.tag, x.names]
+            a, b, d = a - c, b - linked[i], d - said[i]
+            own.append(f"{g}mates={min(7, 1 + int(math.log(a, 3)))}/{_share(b, a)}/{bool(2 * d > a)}" if k > 1 and a else f"{g}mates={min(k, 2)}")
+        if x.tag == "#text":
+            own += [f"in name={w}" for w in nodes[x.parent].names]
+        if x.names:
+            own += [f"name={w}" for w in x.names]
+            if len(x.names) > 1:
+                own += [f"name={a}-{b}" for a, b in zip(x.names, x.names[1:])]
+        else:
+            own.append(f"unnamed={x.tag}")
+        if leaf and c:
+            text, k = own_text[i], counts[i]
+            own.append(f"words={min(k, 4) if k < 5 else 5 + min(4, k // 10)}/ends={bool(_ENDS.search(text[-6:]))}")
+            own.append(f"in={inside[i]}/ends={k > 4 and bool(_ENDS.search(text[-6:]))}")
+            if c < 400 and _LEGAL.search(text):
+                own.append("legal")
+            if k < 12 and _DATE.search(text):
+                own.append("date")
+        if not leaf:
+            own.append(f"blocks={min(6, int(math.log2(blocks[i] + 1)))}/links={links}")
+            own.append(f"heads={min(2, heads[i])}/said={_share(said[i], c)}")
+            if controls[i]:
+                own.append(f"controls={min(3, controls[i])}")
+                own.append(f"controls/size={size}")
+            if c < 400 and any(_LEGAL.search(t) for t in own_text[i : last[i] + 1] if t):
+                own.append("wlegal")
+        own += [f"says={w}" for w in lead[i]]
+        own += [f"over={w}" for w in over[i]]
+        if i and (x.tag in _HEADING or x.tag in ("strong", "b")) and counts[i]:
+            heading_of[x.parent] = lead[i]
+        before += x.chars
+        out.append(list(dict.fromkeys(own)))
     return out
 
 
+def states(nodes: list[Node]) -> list[int]:
+    """The state of each node of a labelled page: text by its mark, a wrapper by the texts in it; -1 where there is none."""
+    seen = [0] * len(nodes)
+    for i in range(len(nodes) - 1, -1, -1):
+        if nodes[i].text and not "".join(nodes[i].text).isspace():
+            seen[i] |= 2 if nodes[i].label == "c" else 1
+        if i:
+            seen[nodes[i].parent] |= seen[i]
+    return [(-1, B, C, M)[s] for s in seen]
+
+
+def _classifier(rows: list[list[int]], y: np.ndarray, width: int, weight: np.ndarray, rounds: int, ridge: float) -> np.ndarray:
+    """Log-linear weights (width, 3) by full-batch gradient steps with a step size for each weight."""
+    index = np.concatenate([np.array(r, np.int64) for r in rows])
+    size = np.array([len(r) for r in rows])
+    start = np.r_[0, np.cumsum(size)[:-1]]
+    w, m, v = (np.zeros((width, 3)) for _ in range(3))
+    target = np.eye(3)[y]
+    for t in range(1, rounds + 1):
+        z = np.add.reduceat(w[index], start)
+        z -= z.max(1, keepdims=True)
+        p = np.exp(z)
+        p /= p.sum(1, keepdims=True)
+        d = np.repeat((p - target) * weight[:, None], size, axis=0)
+        g = np.stack([np.bincount(index, d[:, k], width) for k in range(3)], 1) + ridge * w
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        w -= 0.15 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8) / (1 + t / 40)
+    return w
+
+
 @dataclass
 class Model:
     """Log potentials: emit[feature][state], prior[state] of the page, move[parent state][state] as probabilities."""
@@ -186,26 +335,35 @@ class Model:
     move: tuple[tuple[float, ...], ...]
 
     @staticmethod
-    def train(pages: list[str], smooth: float = 0.5) -> Model:
-        """Smoothed maximum likelihood from pages whose elements carry their state in data-y (inherited by children)."""
-        seen: Counter = Counter()
-        totals: Counter = Counter()
+    def train(pages: list[str], smooth: float = 0.5, least: int = 4, rounds: int = 90, ridge: float = 0.3, trust: float = 0.8) -> Model:
+        """From pages whose elements carry their state in data-y (inherited by children).
+
+        least: times that a feature must occur. trust: power of the node potentials, under one because neighbouring nodes
+        show much the same. An empty list gives potentials that prefer nothing.
+        """
         moves = [[smooth] * 3 for _ in range(3)]
         prior = [smooth] * 3
+        found: Counter = Counter()
         for page in pages:
             nodes = parse(page)
-            nodes[0].label = "m" if nodes[0].label == "" else nodes[0].label
-            for i, (n, own) in enumerate(zip(nodes, features(nodes))):
-                y = STATES.index(n.label or "m")
-                totals[y] += 1
-                for f in own:
-                    seen[f, y] += 1
+            y = states(nodes)
+            for i, own in enumerate(features(nodes)):
+                if y[i] < 0:
+                    continue
+                found[tuple(own), y[i]] += 1
                 if i:
-                    moves[STATES.index(nodes[n.parent].label or "m")][y] += 1
+                    moves[y[nodes[i].parent]][y[i]] += 1
                 else:
-                    prior[y] += 1
-        vocabulary = {f for f, _ in seen}
-        emit = {f: tuple(math.log((seen[f, y] + smooth) / (totals[y] + 2 * smooth)) for y in range(3)) for f in vocabulary}
+                    prior[y[i]] += 1
+        seen = Counter(f for own, _ in found for f in own)
+        vocabulary = {f: k for k, f in enumerate(f for f, n in seen.items() if n >= least)}
+        emit: dict[str, tuple[float, float, float]] = {"bias": (0.0, 0.0, 0.0)}
+        if found:
+            vocabulary.setdefault("bias", len(vocabulary))
+            y, weight = np.array([k for _, k in found]), np.array(list(found.values()), float)
+            w = _classifier([[vocabulary[f] for f in own if f in vocabulary] for own, _ in found], y, len(vocabulary), weight, rounds, ridge)
+            w[vocabulary["bias"]] -= np.log((np.bincount(y, weight, 3) + smooth) / weight.sum())
+            emit = {f: tuple((trust * w[k]).tolist()) for f, k in vocabulary.items()}
         return Model(emit, tuple(p / sum(prior) for p in prior), tuple(tuple(x / sum(r) for x in r) for r in moves))
 
     def marginals(self, nodes: list[Node]) -> list[tuple[float, float, float]]:
@@ -266,104 +424,17 @@ def extract(page: str | None, model: Model, least: float = 0.5) -> str:
     return "\n".join(blocks)
 
 
-def labelled_pages(n: int = 600, seed: int = 7) -> list[str]:
-    """Generated training pages: common layouts of content and boilerplate, each element with its state in data-y."""
-    r = random.Random(seed)
-    letters = "etaoinshrdlucmfwypvbgk"
-
-    def words(lo: int, hi: int) -> str:
-        return " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 9))) for _ in range(r.randint(lo, hi)))
-
-    def links(lo: int, hi: int, tag: str = "li") -> str:
-        return "".join(f'<{tag}><a href="/x">{words(1, 3)}</a></{tag}>' for _ in range(r.randint(lo, hi)))
-
-    def element(y: str, tag: str, names: list[str], body: str) -> str:
-        name = r.choice(names)
-        kind = r.choice(["class", "class", "id"])
-        return f'<{tag} data-y="{y}"' + (f' {kind}="{name}"' if name else "") + f">{body}</{tag}>"
-
-    def paragraph() -> str:
-        style = r.random()
-        if style < 0.06:
-            return f"<blockquote><p>{words(8, 40)}.</p></blockquote>"
-        if style < 0.12:
-            return f"<{(t := r.choice(['ul', 'ol']))}>" + "".join(f"<li>{words(3, 14)}" + r.choice(["", f' <a href="/y">{words(1, 2)}</a>']) + "</li>" for _ in range(r.randint(2, 6))) + f"</{t}>"
-        if style < 0.22:
-            return f"<{(t := r.choice(['h2', 'h3', 'h4']))}>{words(2, 7)}</{t}>"
-        if style < 0.26:
-            return f"<table><tr><th>{words(1, 2)}</th><td>{words(1, 8)}</td></tr><tr><td>{words(1, 3)}</td><td>{words(1, 3)}</td></tr></table>"
-        if style < 0.3:
-            return f"<figure><figcaption>{words(3, 12)}</figcaption></figure>"
-        if style < 0.34:
-            return f"<pre>{words(4, 30)}</pre>"
-        if style < 0.42:
-            return f"<p>{words(1, 4)}.</p>"
-        link = f' <a href="/z">{words(1, 3)}</a> ' if r.random() < 0.25 else " "
-        return f"<p>{words(6, 60)}{link}{words(2, 60)}.</p>"
-
-    def boiler(where: str) -> str:
-        """One block of boilerplate; where: top, side, bottom or inside (of the article)."""
-        short = lambda: f"<p>{words(2, 25)}.</p>"
-        kinds = {
-            "nav": lambda: element("b", r.choice(["nav", "nav", "div", "ul"]), ["nav", "menu", "main menu", "navbar", "topnav", "navigation", "site nav", "", "breadcrumb", "breadcrumbs"], f"<ul>{links(3, 9)}</ul>" if r.random() < 0.8 else links(3, 8, "span")),
-            "header": lambda: element("b", r.choice(["header", "header", "div"]), ["header", "site header", "masthead", "banner", "top bar", "topbar", "branding"], r.choice([f"<h1>{words(1, 4)}</h1>", f"<div>{words(1, 4)}</div>", f"<p>{words(1, 6)}</p>", words(1, 5)]) + (f"<ul>{links(2, 6)}</ul>" if r.random() < 0.5 else "")),
-            "footer": lambda: element("b", r.choice(["footer", "footer", "footer", "div"]), ["footer", "site footer", "copyright", "colophon", "legal", "foot", "bottom"], r.choice([f"&copy; {words(1, 3)} &middot; {words(2, 12)}.", short(), f"<p>{words(2, 8)}</p><ul>{links(2, 6)}</ul>", f"<div>{words(2, 9)}</div>"])),
-            "aside": lambda: element("b", r.choice(["aside", "aside", "div", "section"]), ["sidebar", "side bar", "rail", "widget", "related", "related posts", "recommended", "trending", "popular", "tags", "more", "read more", "author box", "secondary"], r.choice([f"<h3>{words(1, 4)}</h3><ul>{links(2, 7)}</ul>", f"<h3>{words(1, 4)}</h3>{short()}", short() + short(), f"<ul>{links(2, 7)}</ul>", words(3, 20)])),
-            "ad": lambda: element("b", r.choice(["div", "div", "aside", "section", "p"]), ["ad", "ads", "advert", "advertisement", "sponsored", "promo", "promotion", "ad slot", "banner ad", "sponsor", "adsense", "adbox"], r.choice([words(3, 20) + ".", words(3, 12), f'<a href="/b">{words(2, 9)}</a>'])),
-            "notice": lambda: element("b", r.choice(["div", "div", "section", "aside", "dialog"]), ["cookie", "cookies", "cookie notice", "cookie banner", "consent", "gdpr", "notice", "alert", "popup", "modal", "overlay", "paywall", "subscribe", "newsletter", "announcement", "disclaimer"], r.choice([short(), words(4, 30) + ".", short() + "<button>ok</button>", f"<h3>{words(1, 4)}</h3>{short()}"])),
-            "form": lambda: element("b", "form", ["search", "login", "signup", "subscribe", "newsletter", "contact", "", "comment form"], r.choice([f"<label>{words(1, 4)}</label><input>", f"<p>{words(2, 10)}</p><input><button>go</button>", f"<fieldset>{words(1, 5)}<textarea></textarea></fieldset>", f"<h3>{words(1, 4)}</h3><div>{words(1, 8)}</div>"])),
-            "comments": lambda: element("b", r.choice(["div", "section", "section", "aside", "ol"]), ["comments", "comment list", "reader comments", "discussion", "replies", "responses", "disqus thread", "user comments", "commentlist"], (f"<h3>{words(1, 3)}</h3>" if r.random() < 0.6 else "") + "".join(f'<{(t := r.choice(["div", "article", "li", "div"]))} data-y="b" class="{r.choice(["comment", "comment body", "reply", "response", "comment"])}">{r.choice(["", f"<h4>{words(1, 2)}</h4>", f"<b>{words(1, 2)}</b>"])}<p>{words(4, 50)}.</p></{t}>' for _ in range(r.randint(1, 6)))),
-            "share": lambda: element("b", r.choice(["div", "ul", "p"]), ["share", "social", "share buttons", "social links", "follow", "byline", "meta", "post meta", "toolbar", "pagination", "pager"], r.choice([links(2, 5, "span"), words(1, 5), links(2, 5)])),
-        }
-        pick = {"top": ["nav", "nav", "header", "header", "notice", "ad", "form", "share"], "side": ["aside", "aside", "ad", "form", "notice", "nav"], "bottom": ["footer", "footer", "footer", "comments", "comments", "aside", "ad", "form", "notice", "share"], "inside": ["ad", "ad", "share", "aside", "form", "notice", "comments"]}
-        return kinds[r.choice(pick[where])]()
-
-    out = []
-    for _ in range(n):
-        body = [paragraph() for _ in range(r.randint(1, 14))] if r.random() < 0.8 else [f"<p>{words(1, 12)}.</p>" for _ in range(r.randint(1, 2))]
-        if r.random() < 0.8:
-            title = f"<h1>{words(2, 12)}</h1>"
-            body.insert(0, f'<header data-y="c">{title}</header>' if r.random() < 0.15 else title)
-        for _ in range(r.choice([0, 0, 0, 1, 2])):
-            body.insert(r.randint(0, len(body)), boiler("inside"))
-        plain = r.random()
-        if plain < 0.1:  # content straight in the page
-            content = "".join(x if x.startswith("<") and "data-y" in x[:40] else x.replace(">", ' data-y="c">', 1) for x in body)
-        elif plain < 0.14:  # bare text
-            content = f'<div data-y="c">{words(20, 200)}.</div>'
-        else:
-            content = element("c", r.choice(["article", "article", "article", "main", "div", "div", "section"]), ["", "", "", "", "", "content", "article", "post", "entry content", "article body", "post content", "story", "main content", "text", "body text", "entry", "main"], "".join(body) if r.random() < 0.75 else f'<div class="{r.choice(["inner", "body", "entry", "content", "text"])}">{"".join(body)}</div>')
-        parts = [boiler("top") for _ in range(r.randint(0, 3))]
-        middle = content
-        if r.random() < 0.4:
-            side = "".join(boiler("side") for _ in range(r.randint(1, 2)))
-            middle = side + content if r.random() < 0.5 else content + side
-        if r.random() < 0.4:
-            middle = element("m", r.choice(["div", "div", "main"]), ["", "wrapper", "container", "page", "layout", "row", "wrap", "main"], middle)
-        parts += [middle, *(boiler("bottom") for _ in range(r.randint(0, 3)))]
-        page = "".join(parts)
-        if r.random() < 0.15:
-            page = element("m", "div", ["", "wrapper", "container", "page", "site"], page)
-        out.append(f'<html><head><title>{words(2, 5)}</title></head><body data-y="m">{page}</body></html>')
-    for _ in range(n // 20):  # fragments: nothing but text
-        out.append(f'<html data-y="c">{"".join(paragraph() for _ in range(r.randint(1, 6))) if r.random() < 0.7 else words(3, 100)}')
-    return out
-
-
-_MODEL: list[Model] = []
-
-
+@functools.cache
 def default_model() -> Model:
-    if not _MODEL:
-        _MODEL.append(Model.train(labelled_pages()))
-    return _MODEL[0]
+    """The model of the query, trained on labelled_pages()."""
+    return Model.train(labelled_pages())
 
 
 def extract_pages(pages: DataFrame, model: Model | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) for every row; the model (default: trained on labelled_pages) is of fixed size.
 
     Null and empty pages give an empty text. Rows repeat as they came, null ids and urls pass through, an empty table gives
-    no rows and other columns are ignored. Pages are read whole.
+    no rows and other columns are ignored. Pages are read whole, in time linear in their length, however deep they nest.
     """
     spark = pages.sparkSession
     held = spark.sparkContext.broadcast(model or default_model())

@@ -116,6 +116,82 @@ def test_unigram_path_is_the_shortest():
         assert "".join(got) == unit and abs(sum(-score.get(p, -19.0) for p in got) - best(unit)) < 1e-6
 
 
+def _varint(n):
+    out = b""
+    while n > 127:
+        out, n = out + bytes([n & 127 | 128]), n >> 7
+    return out + bytes([n])
+
+
+def _field(n, v):
+    if isinstance(v, int):
+        return bytes(_varint(n << 3)) + _varint(v)
+    if isinstance(v, float):
+        return _varint(n << 3 | 5) + np.float32(v).tobytes()
+    return _varint(n << 3 | 2) + _varint(len(v)) + v
+
+
+def _model(pieces, kind, rule="identity", strip=1, prefix=1, fallback=0):
+    """A model file made by hand; the character map is the library's own for the rule."""
+    import sentencepiece
+
+    spec = sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_model_proto()
+    cmap = dict(sentencepiece_wfst._fields(dict(sentencepiece_wfst._fields(spec))[3])).get(2, b"")
+    out = b"".join(_field(1, _field(1, p.encode()) + _field(2, float(s)) + _field(3, k)) for p, s, k in pieces)
+    return out + _field(2, _field(3, kind) + _field(35, fallback)) + _field(3, _field(2, cmap) + _field(3, prefix) + _field(4, strip))
+
+
+BYTES = [(f"<0x{i:02X}>", 0.0, 6) for i in range(256)]
+START = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)]
+
+
+def _same_ids(model, r, alphabet, rounds=400, long=40):
+    import sentencepiece
+
+    lib, fst = sentencepiece.SentencePieceProcessor(model_proto=model), sentencepiece_wfst.Transducer(model)
+    for k in range(rounds):
+        t = "".join(r.choice(alphabet) for _ in range(r.randint(0, long if k else 5000)))
+        assert np.frombuffer(fst.encode(t), "<u4").tolist() == lib.encode(t), ascii(t)
+
+
+ODD = ["Å", "ﬁ", "①", "ｱ", "\u3000", "\u00a0", "e\u0301", "Ｗ", "½", "\u200b", "가", "ᄀ", "ᅡ", "▁", "日", "😀", "\t", "¨", "..."]
+
+
+@pytest.mark.parametrize("rule,strip,fallback", [("identity", 0, 0), ("identity", 1, 1), ("nmt_nfkc", 1, 0), ("nfkc", 0, 1), ("nmt_nfkc_cf", 1, 1)])
+def test_unigram_models_equal_the_library(rule, strip, fallback):
+    r = random.Random(rule + str(strip))
+    words = {"▁", *"abcdef", "1", "fi"} | {"".join(r.choice("▁abcdeéf1") for _ in range(r.randint(2, 5))) for _ in range(200)}
+    pieces = START + (BYTES if fallback else []) + [(p, -r.random() * 12, 1) for p in sorted(words)] + [("<x>", 0.0, 4), ("abc", 0.0, 4)][: 2 if "abc" not in words else 1]
+    _same_ids(_model(pieces, 1, rule, strip, 1, fallback), r, [*"aaabbcdef  1", "<x>", *ODD])
+
+
+@pytest.mark.parametrize("rule,strip,fallback,user", [("identity", 0, 1, False), ("nmt_nfkc", 1, 0, False), ("nfkc", 0, 0, True), ("nmt_nfkc_cf", 1, 1, True)])
+def test_bpe_models_equal_the_library(rule, strip, fallback, user):
+    r = random.Random(rule)
+    symbols, merges = ["▁", *"abcdef"], []
+    while len(merges) < 150:  # every merge joins two symbols that are there
+        p = r.choice(symbols) + r.choice(symbols)
+        if len(p) <= 8 and p not in symbols and "▁" not in p[1:]:
+            symbols.append(p)
+            merges.append(p)
+    pieces = START + (BYTES if fallback else []) + [(p, -float(i), 5 if user and i % 17 == 5 else 1) for i, p in enumerate(merges)] + [(c, -1000.0 - i, 1) for i, c in enumerate("▁abcde")]
+    pieces += [("<x>", 0.0, 4)] if user else []
+    _same_ids(_model(pieces, 2, rule, strip, 1, fallback), r, [*"aaabbcdeff  ", "<x>", *ODD])
+
+
+def test_refused_models():
+    for model in (_model(START + [("a", 0.0, 1)], 3), _field(3, _field(5, 0))):
+        with pytest.raises(ValueError):
+            sentencepiece_wfst.Transducer(model)
+
+
+def test_decode_of_nulls(spark):
+    path = queries.tokenizer_file("piece_bpe_32k.model")
+    rows = spark.createDataFrame([(1, None), (2, []), (3, [None, 300]), (None, [300])], "doc_id long, ids array<int>")
+    got = {r["doc_id"]: r["text"] for r in sentencepiece_wfst.decode(rows, path).collect()}
+    assert got[1] is None and got[2] == "" and got[3] == got[None] != ""
+
+
 # op2
 
 

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 
 def normal_transaction(tx: Column) -> Column:
-    """Transaction id as text: null, NaN and blank become the empty string; whole numbers lose a trailing .0."""
+    """Transaction id as text: null, NaN and blank become the empty string; whole numbers lose a trailing .0.
+
+    Only a missing value is empty: an id that happens to be spelled none or null is an id.
+    """
     text = F.trim(tx.cast("string"))
-    return F.when(text.isNull() | F.lower(text).isin("", "nan", "none", "null"), F.lit("")).otherwise(F.regexp_replace(text, r"^(-?\d+)\.0+$", "$1"))
+    return F.when(text.isNull() | F.lower(text).isin("", "nan"), F.lit("")).otherwise(F.regexp_replace(text, r"^(-?\d+)\.0+$", "$1"))
 
 
 def event_id(source_file: Column, row: Column, timestamp: Column, visitor: Column, item: Column, event_type: Column, tx: Column) -> Column:

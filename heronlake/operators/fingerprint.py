@@ -39,3 +39,12 @@ def reconcile(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
     a = left.select(*key, F.struct(*values).alias("_l"))
     b = right.select(*key, F.struct(*values).alias("_r"))
     return a.join(b, key, "full_outer").where(~F.col("_l").eqNullSafe(F.col("_r"))).select(*key, F.col("_l").isNotNull().alias("in_left"), F.col("_r").isNotNull().alias("in_right"))
+
+
+def merge_expectation(wanted: DataFrame, found: DataFrame, key: list[str]) -> DataFrame:
+    """Every key of either table with its status: equal, differs, missing (only wanted) or unexpected (only found)."""
+    values = [c for c in wanted.columns if c not in key]
+    a = wanted.select(*key, F.struct(*values).alias("_w"))
+    b = found.select(*key, F.struct(*values).alias("_f"))
+    status = F.when(F.col("_f").isNull(), "missing").when(F.col("_w").isNull(), "unexpected").when(F.col("_w").eqNullSafe(F.col("_f")), "equal").otherwise("differs")
+    return a.join(b, key, "full_outer").select(*key, status.alias("status"))

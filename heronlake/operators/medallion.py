@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from heronlake.functions.contract import classify
 from heronlake.functions.identity import ratio
 from heronlake.functions.model import DEFAULT_BOUNDS, Bounds
-from heronlake.operators.pit import point_in_time_join
+from heronlake.operators.pit import as_of_properties
 
 
 def deduplicate(events: DataFrame) -> DataFrame:
@@ -28,38 +28,47 @@ def in_range(df: DataFrame, start: str | None = None, end: str | None = None) ->
 
 def silver(bronze: DataFrame, intervals: DataFrame, category_dim: DataFrame, bounds: Bounds = DEFAULT_BOUNDS) -> tuple[DataFrame, DataFrame]:
     """(valid and enriched events, rejected events with reasons) of deduplicated bronze."""
-    flagged = classify(deduplicate(bronze), bounds)
+    return split_silver(classify(deduplicate(bronze), bounds), intervals, category_dim)
+
+
+def split_silver(flagged: DataFrame, intervals: DataFrame, category_dim: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid and enriched events, rejected events) of classified ones; both read flagged."""
     rejected = flagged.where(F.col("rejection_reason").isNotNull())
     valid = flagged.where(F.col("rejection_reason").isNull()).drop("rejection_reason")
-    joined = point_in_time_join(point_in_time_join(valid, intervals, "categoryid", "category_id"), intervals, "available", "available")
+    joined = as_of_properties(valid, intervals, {"categoryid": "category_id", "available": "available"}, buckets=4)
     joined = joined.withColumns({"category_id": F.col("category_id").try_cast("long"), "available": F.col("available").try_cast("int")})
     parents = category_dim.select(F.col("category_id"), F.col("parent_id").alias("parent_category_id"))
     out = joined.join(parents, "category_id", "left")
     return out.withColumns({"has_category": F.col("category_id").isNotNull(), "enrichment_status": F.when(F.col("category_id").isNotNull(), "enriched").otherwise("unenriched")}), rejected
 
 
-def _pivots() -> list:
-    return [F.count_if(F.col("event_type") == t).alias(n) for t, n in (("view", "views"), ("addtocart", "carts"), ("transaction", "transactions"))]
+def _pivots(bought: str = "purchases") -> list:
+    return [F.count_if(F.col("event_type") == t).alias(n) for t, n in (("view", "views"), ("addtocart", "carts"), ("transaction", bought))]
+
+
+def _rates(bought: str = "purchases") -> dict:
+    c = F.col
+    return {"view_to_cart_rate": ratio(c("carts"), c("views")), "cart_to_purchase_rate": ratio(c(bought), c("carts")), "view_to_purchase_rate": ratio(c(bought), c("views"))}
 
 
 def fact_events(silver_events: DataFrame, provenance: bool = False) -> DataFrame:
-    """One row an event; with provenance also the age of the enrichment and the interval it came from."""
-    columns = ["event_id", "event_timestamp", "event_date", "visitor_id", "item_id", "event_type", "transaction_id", "category_id", "parent_category_id", "available", "enrichment_status"]
+    """One row an event; with provenance also since when its category was known and how old that knowledge was."""
+    columns = ["event_id", "visitor_id", "item_id", "event_type", "event_time", "event_timestamp", "category_id", "parent_category_id", "available", "enrichment_status", "event_date"]
     if not provenance:
         return silver_events.select(*columns)
-    return silver_events.select(*columns, "category_id_valid_from_ms", F.when(F.col("category_id").isNotNull(), F.col("event_timestamp") - F.col("category_id_valid_from_ms")).alias("category_age_ms"))
+    since = F.col("category_id_valid_from_ms")
+    return silver_events.select(*columns, since.alias("category_known_since_ms"), (F.col("event_timestamp") - since).alias("category_age_at_event_ms"))
 
 
 def fact_transactions(silver_events: DataFrame) -> DataFrame:
     """One row a transaction line; a transaction id may have several."""
-    return silver_events.where(F.col("event_type") == "transaction").select("transaction_id", "event_id", "event_timestamp", "event_date", "visitor_id", "item_id", "category_id", "parent_category_id")
+    return silver_events.where(F.col("event_type") == "transaction").select("event_id", "transaction_id", "visitor_id", "item_id", "event_time", "category_id", "parent_category_id", "event_date")
 
 
 def item_funnel(silver_events: DataFrame) -> DataFrame:
-    """Views, carts, transactions, visitors and conversion rates of each item."""
-    n = silver_events.groupBy("item_id").agg(*_pivots(), F.count_distinct("visitor_id").alias("visitors"), F.max("category_id").alias("last_known_category_id"))
-    c = F.col
-    return n.withColumns({"view_to_cart": ratio(c("carts"), c("views")), "cart_to_transaction": ratio(c("transactions"), c("carts")), "view_to_transaction": ratio(c("transactions"), c("views"))})
+    """Views, carts, purchases, visitors and conversion rates of each item."""
+    n = silver_events.groupBy("item_id").agg(*_pivots(), F.count_distinct("visitor_id").alias("unique_visitors"), F.max("category_id").alias("last_known_category_id"))
+    return n.withColumns(_rates())
 
 
 def category_performance(silver_events: DataFrame) -> DataFrame:
@@ -70,7 +79,7 @@ def category_performance(silver_events: DataFrame) -> DataFrame:
 
 
 def daily_item_metrics(silver_events: DataFrame) -> DataFrame:
-    return silver_events.groupBy("event_date", "item_id").agg(F.count("*").alias("events"), F.count_distinct("visitor_id").alias("visitors"), *_pivots())
+    return silver_events.groupBy("event_date", "item_id").agg(F.count("*").alias("events"), F.count_distinct("visitor_id").alias("unique_visitors"), *_pivots())
 
 
 def attribution(silver_events: DataFrame) -> DataFrame:
@@ -80,8 +89,13 @@ def attribution(silver_events: DataFrame) -> DataFrame:
 
 
 def windowed_metrics(events: DataFrame, width: str = "5 minutes", approximate: bool = True) -> DataFrame:
-    """Counts and rates of each tumbling event-time window; on a stream visitors can only be counted approximately."""
-    visitors = F.approx_count_distinct("visitor_id", 0.01) if approximate else F.count_distinct("visitor_id")
-    n = events.groupBy(F.window("event_time", width).alias("w")).agg(F.count("*").alias("events"), visitors.alias("visitors"), *_pivots())
-    c = F.col
-    return n.select(c("w.start").alias("window_start"), c("w.end").alias("window_end"), "events", "visitors", "views", "carts", "transactions", ratio(c("carts"), c("views")).alias("cart_rate"), ratio(c("transactions"), c("views")).alias("transaction_rate"))
+    """Counts and rates of each tumbling event-time window.
+
+    On a stream visitors and items can only be counted approximately (unique_visitors_approx, unique_items_approx); exact
+    counts are named unique_visitors and unique_items.
+    """
+    ending = "_approx" if approximate else ""
+    distinct = [(F.approx_count_distinct(c, 0.01) if approximate else F.count_distinct(c)).alias(f"unique_{n}{ending}") for c, n in (("visitor_id", "visitors"), ("item_id", "items"))]
+    n = events.groupBy(F.window("event_time", width).alias("w")).agg(F.count("*").alias("events"), *distinct, *_pivots("transactions"))
+    names = ["events", f"unique_visitors{ending}", f"unique_items{ending}", "views", "carts", "transactions"]
+    return n.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *names, *(rate.alias(r) for r, rate in _rates("transactions").items()))

@@ -34,6 +34,22 @@ def as_of_join(events: DataFrame, intervals: DataFrame, property_name: str, out:
     return joined.select(*columns, F.col("_last.v").alias(out), F.col("_last.f").alias(f"{out}_valid_from_ms"))
 
 
+def as_of_properties(events: DataFrame, intervals: DataFrame, properties: dict[str, str], buckets: int = 1) -> DataFrame:
+    """``as_of_join`` of several properties ({property: column}) in one pass: one shuffle of the events, however many."""
+    columns = events.columns
+    known = F.struct(F.col("value").alias("v"), F.col("valid_from_ms").alias("f"))
+    kind = "struct<v:string,f:bigint>"
+    deal = F.pmod(F.xxhash64("event_id"), F.lit(buckets)).cast("int")
+    left = events.select("*", deal.alias("_b"), F.col("event_timestamp").alias("_t"), F.lit(1).alias("_k"), *(F.lit(None).cast(kind).alias(f"_s{i}") for i in range(len(properties))))
+    right = intervals.where(F.col("property").isin(*properties)).select(
+        "item_id", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("_b"), F.col("valid_from_ms").alias("_t"), F.lit(0).alias("_k"),
+        *(F.when(F.col("property") == p, known).alias(f"_s{i}") for i, p in enumerate(properties)),
+    )
+    w = Window.partitionBy("item_id", "_b").orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = left.unionByName(right, allowMissingColumns=True).select("*", *(F.last(f"_s{i}", ignorenulls=True).over(w).alias(f"_l{i}") for i in range(len(properties)))).where("_k = 1")
+    return joined.select(*columns, *(c for i, out in enumerate(properties.values()) for c in (F.col(f"_l{i}.v").alias(out), F.col(f"_l{i}.f").alias(f"{out}_valid_from_ms"))))
+
+
 def leaks(enriched: DataFrame, out: str = "category_id") -> DataFrame:
     """Rows enriched from the future; there must be none."""
     return enriched.where(F.col(f"{out}_valid_from_ms") > F.col("event_timestamp"))

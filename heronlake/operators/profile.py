@@ -7,16 +7,24 @@ from pyspark.sql import functions as F
 
 
 def events(rows: DataFrame) -> DataFrame:
-    """One row: size, distinct keys, types, null-rule violations and span."""
+    """One row: size, distinct keys (of each type, too), types and their shares in percent, null-rule violations and span."""
     kind, tx = F.col("event_type"), F.col("transaction_id")
     return rows.agg(
         F.count("*").alias("events"), F.count_distinct("visitor_id").alias("visitors"), F.count_distinct("item_id").alias("items"), F.count_distinct("transaction_id").alias("transaction_ids"),
         *(F.count_if(kind == t).alias(n) for t, n in (("view", "views"), ("addtocart", "carts"), ("transaction", "transactions"))),
         F.count_if((kind == "transaction") & tx.isNull()).alias("transactions_without_id"), F.count_if((kind != "transaction") & tx.isNotNull()).alias("others_with_id"),
-        F.min("event_timestamp").alias("first_ms"), F.max("event_timestamp").alias("last_ms"),
+        *(F.count_distinct(F.when(kind == t, F.col(c))).alias(f"{n}_{of}") for t, n in (("view", "view"), ("addtocart", "cart"), ("transaction", "transaction")) for c, of in (("visitor_id", "visitors"), ("item_id", "items"))),
+        *(F.round(100.0 * F.count_if(kind == t) / F.count("*"), 6).alias(f"{n}_pct") for t, n in (("view", "view"), ("addtocart", "cart"), ("transaction", "transaction"))),
+        F.min("event_timestamp").alias("first_ms"), F.max("event_timestamp").alias("last_ms"), F.round((F.max("event_timestamp") - F.min("event_timestamp")) / 86_400_000.0, 6).alias("span_days"),
     )
 
 
+def updates_per_item(snapshots: DataFrame) -> DataFrame:
+    """One row: items with properties, their updates, and updates of an item on average, in the middle and at most."""
+    per = snapshots.groupBy("item_id").agg(F.count("*").alias("n"))
+    return per.agg(F.count("*").alias("items"), F.sum("n").alias("updates"), F.round(F.avg("n"), 6).alias("mean"), F.round(F.percentile("n", 0.5), 6).alias("median"), F.max("n").alias("most"))
+
+
 def duplicate_rows(rows: DataFrame, columns: list[str]) -> DataFrame:
     """One row: groups of equal rows and rows beyond the first of each."""
     same = rows.groupBy(*columns).agg(F.count("*").alias("n")).where("n > 1")
@@ -53,7 +61,8 @@ def transaction_reality(rows: DataFrame) -> DataFrame:
     lines = rows.where("event_type = 'transaction'").groupBy("transaction_id").agg(F.count("*").alias("n"), F.count_distinct("item_id").alias("items"))
     size = lines.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("lines"), F.count("*").alias("ids"), F.round(F.avg("n"), 6).alias("lines_per_id"), F.max("items").alias("most_items"))
     people = rows.groupBy("visitor_id").agg(F.max(F.when(F.col("event_type") == "transaction", 1).otherwise(0)).alias("buys"))
-    return size.join(F.broadcast(people.agg(F.round(100.0 * F.avg("buys"), 6).alias("visitors_transacting_pct"))))
+    share = people.agg(F.round(100.0 * F.avg("buys"), 6).alias("visitors_transacting_pct"))
+    return size.withColumn("visitors_transacting_pct", share.scalar())
 
 
 def property_topk(snapshots: DataFrame, k: int = 20) -> DataFrame:
@@ -65,7 +74,7 @@ def category_tree(categories: DataFrame) -> DataFrame:
     """One row: categories, roots (no parent), and parents that are no category themselves."""
     parents = categories.where("parent_id is not null").select(F.col("parent_id").alias("category_id")).distinct()
     orphans = parents.join(categories.select("category_id"), "category_id", "left_anti").agg(F.count("*").alias("orphan_parents"))
-    return categories.agg(F.count("*").alias("categories"), F.count_if(F.col("parent_id").isNull()).alias("roots"), F.count_distinct("parent_id").alias("parents")).join(F.broadcast(orphans))
+    return categories.agg(F.count("*").alias("categories"), F.count_if(F.col("parent_id").isNull()).alias("roots"), F.count_distinct("parent_id").alias("parents")).withColumn("orphan_parents", orphans.scalar())
 
 
 def items_without_properties(rows: DataFrame, snapshots: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from heronlake.functions.contract import classify
 from heronlake.operators import fingerprint, lateness, medallion, pit, profile, scd
 from heronlake.plans import lakehouse
-from heronlake.sources import adapter, files, wire
+from heronlake.sources import adapter, files, simulate, wire
 from heronlake.sources.store import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,16 +60,16 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def _events(spark: SparkSession, sf_dir: str, inject: bool = False) -> DataFrame:
-    return adapter.with_times(adapter.raw_events(spark, sf_dir, inject))
+def _events(spark: SparkSession, sf_dir: str, inject: bool = False, offsets: bool = True) -> DataFrame:
+    return adapter.with_times(adapter.raw_events(spark, sf_dir, inject, offsets))
 
 
 def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify(_events(spark, sf_dir), adapter.BOUNDS).where("rejection_reason is null").drop("rejection_reason")
+    return classify(_events(spark, sf_dir, offsets=False), adapter.BOUNDS).where("rejection_reason is null").drop("rejection_reason")
 
 
 def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapter.snapshots(adapter.raw_events(spark, sf_dir))
+    return adapter.snapshots(adapter.raw_events(spark, sf_dir, offsets=False))
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,8 +81,14 @@ def _dated(df: DataFrame) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    """A folder for a query's own tables: in the cluster's shared folder, or a temporary one where none is set."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or f"file://{tempfile.mkdtemp(prefix='heronlake-')}"
+    """A folder for a query's own tables: in the cluster's shared folder; on one machine without one, temporary until exit."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
+        base = tempfile.mkdtemp(prefix="heronlake-")
+        atexit.register(shutil.rmtree, base, True)
+        base = f"file://{base}"
     return f"{base.rstrip('/')}/heronlake/{name}-{uuid.uuid4().hex}"
 
 
@@ -144,9 +152,10 @@ def dlq_route_counts(spark, sf_dir):
     return wire.route(_envelope(spark, sf_dir), [1], adapter.BOUNDS).groupBy("route").agg(F.count("*").alias("n"))
 
 
-@query("dlq_records", f"SELECT source_topic, source_partition, source_offset, route AS error_type FROM (SELECT *, {_ROUTE} AS route FROM i) WHERE route <> 'valid'")
+@query("dlq_records", f"""SELECT source_topic, source_partition AS "partition", source_offset AS "offset", route AS error_type, visitor_id::VARCHAR AS message_key, CASE WHEN route = 'validation_failed' THEN 1 END AS schema_version,
+  route || ': ' || CASE WHEN route = 'validation_failed' THEN {_TOPIC} ELSE 'the record could not be read' END AS error_message FROM (SELECT *, {_ROUTE} AS route FROM i) WHERE route <> 'valid'""")
 def dlq_records(spark, sf_dir):
-    return wire.dead_letters(wire.route(_envelope(spark, sf_dir), [1], adapter.BOUNDS)).select("source_topic", "source_partition", "source_offset", "error_type")
+    return wire.dead_letters(wire.route(_envelope(spark, sf_dir), [1], adapter.BOUNDS)).select("source_topic", "partition", "offset", "error_type", "message_key", "schema_version", "error_message")
 
 
 @query("dedup_batch", "SELECT event_id, source_topic, source_partition, source_offset FROM i QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY source_topic, source_partition, source_offset) = 1")
@@ -215,35 +224,42 @@ def min_enrichment_lag(spark, sf_dir):
 
 # gold
 
-_PIVOT = "count(*) FILTER (event_type = 'view') AS views, count(*) FILTER (event_type = 'addtocart') AS carts, count(*) FILTER (event_type = 'transaction') AS transactions"
+_PIVOT = "count(*) FILTER (event_type = 'view') AS views, count(*) FILTER (event_type = 'addtocart') AS carts, count(*) FILTER (event_type = 'transaction') AS {bought}"
+_BOUGHT, _PIVOT = _PIVOT.format(bought="purchases"), _PIVOT.format(bought="transactions")
+_RATE = "CASE WHEN views > 0 THEN CAST(carts AS DOUBLE) / views END AS view_to_cart_rate, CASE WHEN carts > 0 THEN CAST({bought} AS DOUBLE) / carts END AS cart_to_purchase_rate, CASE WHEN views > 0 THEN CAST({bought} AS DOUBLE) / views END AS view_to_purchase_rate"
 
 
-@query("fact_events", "SELECT event_id, event_timestamp, event_date::VARCHAR AS event_date, visitor_id, item_id, event_type, transaction_id, category_id, parent_category_id, available, CASE WHEN category_id IS NOT NULL THEN 'enriched' ELSE 'unenriched' END AS enrichment_status FROM w")
+def _timed(df: DataFrame) -> DataFrame:
+    """Dates as text and event_time in epoch milliseconds, as every engine writes them."""
+    return _dated(df).withColumn("event_time", F.unix_millis("event_time"))
+
+
+@query("fact_events", "SELECT event_id, visitor_id, item_id, event_type, event_timestamp AS event_time, event_timestamp, category_id, parent_category_id, available, CASE WHEN category_id IS NOT NULL THEN 'enriched' ELSE 'unenriched' END AS enrichment_status, event_date::VARCHAR AS event_date FROM w")
 def fact_events(spark, sf_dir):
-    return _dated(medallion.fact_events(_silver(spark, sf_dir)))
+    return _timed(medallion.fact_events(_silver(spark, sf_dir)))
 
 
-@query("fact_events_provenance", "SELECT event_id, CASE WHEN w.category_id IS NOT NULL THEN s.valid_from_ms END AS category_id_valid_from_ms, CASE WHEN w.category_id IS NOT NULL THEN event_timestamp - s.valid_from_ms END AS category_age_ms FROM w LEFT JOIN s ON w.item_id = s.item_id AND s.property = 'categoryid' AND event_timestamp >= valid_from_ms AND (valid_to_ms IS NULL OR event_timestamp < valid_to_ms)")
+@query("fact_events_provenance", "SELECT event_id, s.valid_from_ms AS category_known_since_ms, event_timestamp - s.valid_from_ms AS category_age_at_event_ms FROM w LEFT JOIN s ON w.item_id = s.item_id AND s.property = 'categoryid' AND event_timestamp >= valid_from_ms AND (valid_to_ms IS NULL OR event_timestamp < valid_to_ms)")
 def fact_events_provenance(spark, sf_dir):
-    return medallion.fact_events(_silver(spark, sf_dir), provenance=True).select("event_id", "category_id_valid_from_ms", "category_age_ms")
+    return medallion.fact_events(_silver(spark, sf_dir), provenance=True).select("event_id", "category_known_since_ms", "category_age_at_event_ms")
 
 
-@query("fact_transactions", "SELECT transaction_id, event_id, event_timestamp, event_date::VARCHAR AS event_date, visitor_id, item_id, category_id, parent_category_id FROM w WHERE event_type = 'transaction'")
+@query("fact_transactions", "SELECT event_id, transaction_id, visitor_id, item_id, event_timestamp AS event_time, category_id, parent_category_id, event_date::VARCHAR AS event_date FROM w WHERE event_type = 'transaction'")
 def fact_transactions(spark, sf_dir):
-    return _dated(medallion.fact_transactions(_silver(spark, sf_dir)))
+    return _timed(medallion.fact_transactions(_silver(spark, sf_dir)))
 
 
-@query("mart_item_funnel", f"SELECT *, CASE WHEN views > 0 THEN CAST(carts AS DOUBLE) / views END AS view_to_cart, CASE WHEN carts > 0 THEN CAST(transactions AS DOUBLE) / carts END AS cart_to_transaction, CASE WHEN views > 0 THEN CAST(transactions AS DOUBLE) / views END AS view_to_transaction FROM (SELECT item_id, {_PIVOT}, count(DISTINCT visitor_id) AS visitors, max(category_id) AS last_known_category_id FROM w GROUP BY item_id)")
+@query("mart_item_funnel", f"SELECT *, {_RATE.format(bought='purchases')} FROM (SELECT item_id, {_BOUGHT}, count(DISTINCT visitor_id) AS unique_visitors, max(category_id) AS last_known_category_id FROM w GROUP BY item_id)")
 def mart_item_funnel(spark, sf_dir):
     return medallion.item_funnel(_silver(spark, sf_dir))
 
 
-@query("mart_category_performance", f"SELECT category_id, parent_category_id, count(*) AS events, count(DISTINCT item_id) AS items, count(DISTINCT visitor_id) AS visitors, {_PIVOT} FROM w WHERE category_id IS NOT NULL GROUP BY 1, 2")
+@query("mart_category_performance", f"SELECT category_id, parent_category_id, count(*) AS events, count(DISTINCT item_id) AS items, count(DISTINCT visitor_id) AS visitors, {_BOUGHT} FROM w WHERE category_id IS NOT NULL GROUP BY 1, 2")
 def mart_category_performance(spark, sf_dir):
     return medallion.category_performance(_silver(spark, sf_dir))
 
 
-@query("mart_daily_item_metrics", f"SELECT event_date::VARCHAR AS event_date, item_id, count(*) AS events, count(DISTINCT visitor_id) AS visitors, {_PIVOT} FROM w GROUP BY 1, 2")
+@query("mart_daily_item_metrics", f"SELECT event_date::VARCHAR AS event_date, item_id, count(*) AS events, count(DISTINCT visitor_id) AS unique_visitors, {_BOUGHT} FROM w GROUP BY 1, 2")
 def mart_daily_item_metrics(spark, sf_dir):
     return _dated(medallion.daily_item_metrics(_silver(spark, sf_dir)))
 
@@ -255,8 +271,8 @@ def gold_attribution(spark, sf_dir):
 
 # windows
 
-_WINDOWS = f"SELECT epoch_ms(time_bucket(INTERVAL 5 MINUTE, make_timestamp(event_timestamp * 1000))) AS window_start_ms, count(*) AS events, count(DISTINCT visitor_id) AS visitors, {_PIVOT} FROM {{src}} GROUP BY 1"
-_RATES = "CASE WHEN views > 0 THEN CAST(carts AS DOUBLE) / views END AS cart_rate, CASE WHEN views > 0 THEN CAST(transactions AS DOUBLE) / views END AS transaction_rate"
+_WINDOWS = f"SELECT epoch_ms(time_bucket(INTERVAL 5 MINUTE, make_timestamp(event_timestamp * 1000))) AS window_start_ms, count(*) AS events, count(DISTINCT visitor_id) AS unique_visitors, count(DISTINCT item_id) AS unique_items, {_PIVOT} FROM {{src}} GROUP BY 1"
+_RATES = _RATE.format(bought="transactions")
 
 
 def _plain_windows(df: DataFrame) -> DataFrame:
@@ -268,12 +284,13 @@ def windowed_metrics(spark, sf_dir):
     return _plain_windows(medallion.windowed_metrics(_valid(spark, sf_dir), approximate=False))
 
 
-@query("approx_distinct_accuracy", "SELECT window_start_ms, visitors, true AS within_tolerance FROM (" + _WINDOWS.format(src="v") + ")")
+@query("approx_distinct_accuracy", "SELECT epoch_ms(time_bucket(INTERVAL 1 DAY, make_timestamp(event_timestamp * 1000))) AS window_start_ms, count(DISTINCT visitor_id) AS unique_visitors, count(DISTINCT item_id) AS unique_items, true AS within_tolerance FROM v GROUP BY 1")
 def approx_distinct_accuracy(spark, sf_dir):
-    exact = _plain_windows(medallion.windowed_metrics(_valid(spark, sf_dir), approximate=False)).select("window_start_ms", "visitors")
-    rough = _plain_windows(medallion.windowed_metrics(_valid(spark, sf_dir))).select("window_start_ms", F.col("visitors").alias("rough"))
-    near = F.abs(F.col("rough") - F.col("visitors"))
-    return exact.join(rough, "window_start_ms").select("window_start_ms", "visitors", ((near <= 5) & ((F.col("visitors") < 50) | (near <= 0.05 * F.col("visitors")))).alias("within_tolerance"))
+    """Sketches against exact counts on windows of a day, which hold far more keys than a sketch keeps exactly."""
+    exact = _plain_windows(medallion.windowed_metrics(_valid(spark, sf_dir), "1 day", approximate=False)).select("window_start_ms", "unique_visitors", "unique_items")
+    rough = _plain_windows(medallion.windowed_metrics(_valid(spark, sf_dir), "1 day")).select("window_start_ms", "unique_visitors_approx", "unique_items_approx")
+    near = lambda c: F.abs(F.col(f"{c}_approx") - F.col(c)) <= F.greatest(F.lit(2), 0.05 * F.col(c))
+    return exact.join(rough, "window_start_ms").select("window_start_ms", "unique_visitors", "unique_items", (near("unique_visitors") & near("unique_items")).alias("within_tolerance"))
 
 
 @query("top_windows", f"SELECT window_start_ms, events FROM ({_WINDOWS.format(src='v')}) ORDER BY window_start_ms DESC LIMIT 50")
@@ -295,20 +312,33 @@ def duplicate_inflation(spark, sf_dir):
     return per.agg(F.sum(F.when(F.col("raw") > F.col("clean"), 1).otherwise(0)).alias("inflated_windows"), F.sum(F.col("raw") - F.col("clean")).alias("extra_events"))
 
 
-@query("reconcile_windows", "SELECT 0::BIGINT AS mismatches")
+@query("reconcile_windows", f"SELECT window_start_ms, true AS in_left, window_start_ms % 1500000 <> 0 AS in_right FROM ({_WINDOWS.format(src='v')}) WHERE window_start_ms % 1500000 = 0 OR window_start_ms % 2100000 = 0 UNION ALL SELECT window_start_ms + 1, false, true FROM ({_WINDOWS.format(src='v')}) WHERE window_start_ms % 3300000 = 0")
 def reconcile_windows(spark, sf_dir):
+    """Windows against another count of them in which some are missing, some differ and some are strange; all others agree."""
     events = _valid(spark, sf_dir)
-    start = F.col("event_timestamp") - F.col("event_timestamp") % 300_000
-    other = events.groupBy(start.alias("window_start_ms")).agg(F.count("*").alias("events"))
+    start = F.col("window_start_ms")
+    other = events.groupBy((F.col("event_timestamp") - F.col("event_timestamp") % 300_000).alias("window_start_ms")).agg(F.count("*").alias("events"))
+    strange = other.where(start % 3_300_000 == 0).withColumn("window_start_ms", start + 1)
+    other = other.where(start % 1_500_000 != 0).withColumn("events", F.when(start % 2_100_000 == 0, F.col("events") + 1).otherwise(F.col("events"))).unionByName(strange)
     ours = windowed_metrics(spark, sf_dir).select("window_start_ms", "events")
-    return fingerprint.reconcile(ours, other, ["window_start_ms"]).agg(F.count("*").alias("mismatches"))
+    return fingerprint.reconcile(ours, other, ["window_start_ms"])
+
+
+@query("expectation_merge", f"SELECT status, count(*) AS n FROM (SELECT CASE WHEN window_start_ms % 1500000 = 0 THEN 'missing' WHEN window_start_ms % 2100000 = 0 THEN 'differs' ELSE 'equal' END AS status FROM ({_WINDOWS.format(src='v')}) UNION ALL SELECT 'unexpected' FROM ({_WINDOWS.format(src='v')}) WHERE window_start_ms % 3300000 = 0) GROUP BY 1")
+def expectation_merge(spark, sf_dir):
+    """Each window of an expectation merged with what was found: equal, differs, missing or unexpected."""
+    start = F.col("window_start_ms")
+    wanted = windowed_metrics(spark, sf_dir).select("window_start_ms", "events")
+    found = wanted.where(start % 1_500_000 != 0).withColumn("events", F.when(start % 2_100_000 == 0, F.col("events") + 1).otherwise(F.col("events")))
+    found = found.unionByName(wanted.where(start % 3_300_000 == 0).withColumn("window_start_ms", start + 1))
+    return fingerprint.merge_expectation(wanted, found, ["window_start_ms"]).groupBy("status").agg(F.count("*").alias("n"))
 
 
 def _chain(spark, sf_dir, name, batches=5, **options):
     from heronlake.streaming.chain import Chain, replay
 
     root = _scratch(spark, name)
-    replay(adapter.raw_events(spark, sf_dir, True).where("event_timestamp > 0"), f"{root}/log", batches)  # a watermark cannot lie before 1970
+    replay(adapter.raw_events(spark, sf_dir, True), f"{root}/log", batches)
     chain = Chain(spark, root, **options)
     chain.run_available(wire.stream_source(spark, f"{root}/log/batch=*", max_per_trigger=1))
     return chain
@@ -316,12 +346,13 @@ def _chain(spark, sf_dir, name, batches=5, **options):
 
 @query("stream_dedup_metrics", f"SELECT window_start_ms, events, views, carts, transactions FROM (SELECT epoch_ms(time_bucket(INTERVAL 5 MINUTE, make_timestamp(event_timestamp * 1000))) AS window_start_ms, count(*) AS events, {_PIVOT} FROM j WHERE event_timestamp > 0 GROUP BY 1)")
 def stream_dedup_metrics(spark, sf_dir):
-    """The whole live chain over a replayed log with copies; the watermark is longer than the log, so nothing is late."""
+    """The whole live chain over a replayed log with copies. The watermark is long enough for all good events, but not for the
+    faulty ones stamped 1970, which come first: a watermark cannot lie before 1970, so the first batch drops them as late."""
     chain = _chain(spark, sf_dir, "stream", watermark="40000 days")
     return _plain_windows(chain.store.read("metrics")).select("window_start_ms", "events", "views", "carts", "transactions")
 
 
-@query("stream_without_dedup", f"SELECT window_start_ms, events FROM (SELECT epoch_ms(time_bucket(INTERVAL 5 MINUTE, make_timestamp(event_timestamp * 1000))) AS window_start_ms, count(*) AS events FROM i WHERE event_timestamp > 0 GROUP BY 1)")
+@query("stream_without_dedup", f"SELECT window_start_ms, events FROM (SELECT epoch_ms(time_bucket(INTERVAL 5 MINUTE, make_timestamp(event_timestamp * 1000))) AS window_start_ms, count(*) AS events FROM i GROUP BY 1)")
 def stream_without_dedup(spark, sf_dir):
     """The negative control: without deduplication copies inflate the windows."""
     return _plain_windows(_chain(spark, sf_dir, "stream-nodedup", deduplicate=False).store.read("metrics")).select("window_start_ms", "events")
@@ -359,14 +390,21 @@ def upsert_windows(spark, sf_dir):
     return store.read("w")
 
 
-@query("table_history", "SELECT * FROM (VALUES (0::BIGINT, 'create'), (1::BIGINT, 'append'), (2::BIGINT, 'append')) t(version, operation)")
+@query("table_history", """SELECT version, operation, CAST(CASE version WHEN 0 THEN 0 WHEN 1 THEN (SELECT count(*) FROM e WHERE event_timestamp < 1705276800000) ELSE (SELECT count(*) FROM e) END AS BIGINT) AS row_count,
+  CAST(CASE version WHEN 2 THEN (SELECT count(*) FROM e WHERE event_timestamp >= 1705276800000) ELSE 0 END AS BIGINT) AS with_extra FROM (VALUES (0::BIGINT, 'create'), (1::BIGINT, 'append'), (2::BIGINT, 'append')) t(version, operation)""")
 def table_history(spark, sf_dir):
+    """Two appends of the whole table by date, the first one twice and the second with one more column; rows of each version."""
     store = TableStore(spark, _scratch(spark, "history"))
-    rows = adapter.raw_events(spark, sf_dir).select("event_id", "item_id")
-    store.append("t", rows.limit(5), batch="0")
-    store.append("t", rows.limit(5), batch="0")
-    store.append("t", rows.limit(2).withColumn("extra", F.lit(1)), batch="1")
-    return spark.createDataFrame([(h["version"], h["operation"]) for h in store.history("t")], "version long, operation string")
+    rows, middle = adapter.raw_events(spark, sf_dir, offsets=False).select("event_id", "item_id", "event_timestamp"), 1705276800000
+    for _ in range(2):
+        store.append("t", rows.where(F.col("event_timestamp") < middle), batch="0")
+    store.append("t", rows.where(F.col("event_timestamp") >= middle).withColumn("extra", F.lit(1)), batch="1")
+    found = []
+    for h in store.history("t"):
+        df = store.read("t", h["version"])
+        n = df.agg(F.count("*"), F.count("extra") if "extra" in df.columns else F.lit(0)).first()
+        found.append((h["version"], h["operation"], n[0], n[1]))
+    return spark.createDataFrame(found, "version long, operation string, row_count long, with_extra long")
 
 
 @query("table_fingerprint", "SELECT count(*) AS row_count, CAST(sum(CAST('0x' || substr(md5(concat_ws('|', coalesce(available::VARCHAR, '~'), coalesce(category_id::VARCHAR, '~'), event_id)), 1, 15) AS BIGINT)::HUGEINT) AS VARCHAR) AS fingerprint FROM w")
@@ -388,8 +426,8 @@ def partition_pruned_day(spark, sf_dir):
 
 # lateness
 
-_LATE = """, pos AS (SELECT event_id, event_timestamp, source_topic, source_partition, row_number() OVER (PARTITION BY source_topic, source_partition ORDER BY source_offset) - 1 AS position, count(*) OVER (PARTITION BY source_topic, source_partition) AS n, count(*) OVER () AS total FROM e),
-bt AS (SELECT event_id, event_timestamp, CAST(floor(position / greatest(floor(CAST(n * 500 AS DOUBLE) / total), 1)) AS INTEGER) AS batch_index FROM pos),
+_LATE = """, pos AS (SELECT event_id, event_timestamp, source_topic, source_partition, row_number() OVER (PARTITION BY source_topic, source_partition ORDER BY source_offset) AS position, count(*) OVER (PARTITION BY source_topic, source_partition) AS n, count(*) OVER () AS total FROM e),
+bt AS (SELECT event_id, event_timestamp, CAST(floor(position / greatest(CAST(n AS DOUBLE) / total * 500.0, 1.0)) AS INTEGER) AS batch_index FROM pos),
 tp AS (SELECT batch_index, max(event_timestamp) AS top FROM bt GROUP BY 1),
 rn AS (SELECT batch_index, max(top) OVER (ORDER BY batch_index ROWS UNBOUNDED PRECEDING) AS running FROM tp),
 mk AS (SELECT batch_index, lag(running) OVER (ORDER BY batch_index) AS watermark FROM rn),
@@ -401,7 +439,9 @@ def lateness_model(spark, sf_dir):
     return lateness.lateness(adapter.raw_events(spark, sf_dir), batch_size=500)
 
 
-@query("lateness_exceedances", _LATE + "SELECT count(*) AS events, " + ", ".join(f"count(*) FILTER (lateness_ms > {m * 60000}) AS over_{m}_min" for m in lateness.THRESHOLDS) + " FROM lt")
+@query("lateness_exceedances", _LATE + """SELECT count(*) AS total_records, count(*) FILTER (lateness_ms = 0) AS records_with_zero_lateness, count(*) FILTER (lateness_ms > 60000) AS later_than_1min, count(*) FILTER (lateness_ms > 300000) AS later_than_5min,
+  count(*) FILTER (lateness_ms > 600000) AS later_than_10min, count(*) FILTER (lateness_ms > 1800000) AS later_than_30min, count(*) FILTER (lateness_ms > 3600000) AS later_than_60min, count(*) FILTER (lateness_ms > 10800000) AS later_than_180min,
+  count(*) FILTER (lateness_ms > 21600000) AS later_than_360min, count(*) FILTER (lateness_ms > 43200000) AS later_than_720min, count(*) FILTER (lateness_ms > 86400000) AS later_than_1440min FROM lt""")
 def lateness_exceedances(spark, sf_dir):
     return lateness.exceedances(lateness_model(spark, sf_dir))
 
@@ -411,15 +451,24 @@ def lateness_quantiles(spark, sf_dir):
     return lateness.quantiles(lateness_model(spark, sf_dir), approximate=False)
 
 
-@query("lateness_quantiles_approx")
+_POINTS = (("p50", 0.5), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99), ("p999", 0.999), ("max", 1.0))
+
+
+@query("lateness_quantiles_approx", _LATE + "SELECT " + ", ".join(f"quantile_disc(lateness_ms, {q}) AS {n}, true AS {n}_near" for n, q in _POINTS) + " FROM lt")
 def lateness_quantiles_approx(spark, sf_dir):
-    return lateness.quantiles(lateness_model(spark, sf_dir))
+    """Exact quantiles, and whether the approximate ones lie within 1e-3 of the rows of them (their contract is 1e-4)."""
+    rows = lateness_model(spark, sf_dir)
+    exact = rows.agg(*(F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY lateness_ms)").cast("long").alias(n) for n, q in _POINTS))
+    bounds = rows.agg(*(F.expr(f"percentile_disc({max(0.0, q - 1e-3)}) WITHIN GROUP (ORDER BY lateness_ms)").cast("double").alias(f"{n}_low") for n, q in _POINTS), *(F.expr(f"percentile_disc({min(1.0, q + 1e-3)}) WITHIN GROUP (ORDER BY lateness_ms)").cast("double").alias(f"{n}_high") for n, q in _POINTS))
+    rough = lateness.quantiles(rows).select(*(F.col(n).alias(f"{n}_rough") for n, _ in _POINTS))
+    one = exact.join(bounds, F.lit(True)).join(rough, F.lit(True))  # three rows of one
+    return one.select(*(c for n, _ in _POINTS for c in (F.col(n), F.col(f"{n}_rough").between(F.col(f"{n}_low"), F.col(f"{n}_high")).alias(f"{n}_near"))))
 
 
 # profiles
 
 
-@query("profile_events", f"SELECT count(*) AS events, count(DISTINCT visitor_id) AS visitors, count(DISTINCT item_id) AS items, count(DISTINCT transaction_id) AS transaction_ids, {_PIVOT}, count(*) FILTER (event_type = 'transaction' AND transaction_id IS NULL) AS transactions_without_id, count(*) FILTER (event_type <> 'transaction' AND transaction_id IS NOT NULL) AS others_with_id, min(event_timestamp) AS first_ms, max(event_timestamp) AS last_ms FROM i")
+@query("profile_events", f"SELECT count(*) AS events, count(DISTINCT visitor_id) AS visitors, count(DISTINCT item_id) AS items, count(DISTINCT transaction_id) AS transaction_ids, {_PIVOT}, count(*) FILTER (event_type = 'transaction' AND transaction_id IS NULL) AS transactions_without_id, count(*) FILTER (event_type <> 'transaction' AND transaction_id IS NOT NULL) AS others_with_id, " + ", ".join(f"count(DISTINCT {c}) FILTER (event_type = '{t}') AS {n}_{o}" for t, n in (("view", "view"), ("addtocart", "cart"), ("transaction", "transaction")) for c, o in (("visitor_id", "visitors"), ("item_id", "items"))) + ", " + ", ".join(f"round(100.0 * count(*) FILTER (event_type = '{t}') / count(*), 6)::DOUBLE AS {n}_pct" for t, n in (("view", "view"), ("addtocart", "cart"), ("transaction", "transaction"))) + ", min(event_timestamp) AS first_ms, max(event_timestamp) AS last_ms, round((max(event_timestamp) - min(event_timestamp)) / 86400000.0, 6)::DOUBLE AS span_days FROM i")
 def profile_events(spark, sf_dir):
     return profile.events(adapter.raw_events(spark, sf_dir, True))
 
@@ -459,17 +508,20 @@ def property_profile_topk(spark, sf_dir):
     return profile.property_topk(_snapshots(spark, sf_dir))
 
 
+@query("updates_per_item", "SELECT count(*) AS items, CAST(sum(n) AS BIGINT) AS updates, round(avg(n), 6)::DOUBLE AS mean, round(quantile_cont(n, 0.5), 6)::DOUBLE AS median, max(n) AS most FROM (SELECT item_id, count(*) AS n FROM p GROUP BY 1)")
+def updates_per_item(spark, sf_dir):
+    return profile.updates_per_item(_snapshots(spark, sf_dir))
+
+
 @query("category_tree_profile", "SELECT count(*) AS categories, count(*) FILTER (parent_id IS NULL) AS roots, count(DISTINCT parent_id) AS parents, (SELECT count(*) FROM (SELECT DISTINCT parent_id FROM c WHERE parent_id IS NOT NULL) WHERE parent_id NOT IN (SELECT category_id FROM c)) AS orphan_parents FROM c")
 def category_tree_profile(spark, sf_dir):
     return profile.category_tree(adapter.categories(spark, sf_dir))
 
 
-@query("items_without_properties", "SELECT DISTINCT item_id FROM i WHERE item_id NOT IN (SELECT item_id FROM p WHERE snapshot_ms < (SELECT quantile_disc(snapshot_ms, 0.5) FROM p))")
+@query("items_without_properties", "SELECT DISTINCT item_id FROM i WHERE item_id NOT IN (SELECT item_id FROM p WHERE item_id % 3 <> 0)")
 def items_without_properties(spark, sf_dir):
-    snaps = _snapshots(spark, sf_dir)
-    middle = snaps.agg(F.percentile_approx("snapshot_ms", 0.5, 1_000_000).alias("middle"))
-    early = snaps.join(F.broadcast(middle)).where("snapshot_ms < middle")
-    return profile.items_without_properties(adapter.raw_events(spark, sf_dir, True), early)
+    """Against snapshots that know nothing about every third item."""
+    return profile.items_without_properties(adapter.raw_events(spark, sf_dir, True, offsets=False), _snapshots(spark, sf_dir).where("item_id % 3 <> 0"))
 
 
 @query("items_with_properties", "SELECT DISTINCT item_id FROM e WHERE item_id IN (SELECT item_id FROM p)")
@@ -491,3 +543,28 @@ def replay_order_slice(spark, sf_dir):
 def timestamp_roundtrip(spark, sf_dir):
     rows = _events(spark, sf_dir).select("event_id", "event_timestamp", F.unix_millis("event_time").alias("back_ms"))
     return rows.withColumn("equal", F.col("back_ms") == F.col("event_timestamp"))
+
+
+# replay
+
+_DRAW = "CAST(CAST('0x' || substr(md5('7|{what}|' || event_id), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656.0"
+
+
+@query("replay_plan", f""", d AS (SELECT event_id, row_number() OVER (ORDER BY event_timestamp, source_row_number) - 1 AS position,
+  CASE WHEN {_DRAW.format(what='late')} < 0.05 THEN CAST(floor({_DRAW.format(what='shift')} * 50) AS BIGINT) + 1 ELSE 0 END AS shift, CASE WHEN {_DRAW.format(what='duplicate')} < 0.02 THEN 1 ELSE 0 END AS copies,
+  CASE WHEN {_DRAW.format(what='malformed')} < 0.03 THEN ['raw_garbage', 'unknown_schema_id', 'invalid_field'][CAST(floor({_DRAW.format(what='corruption')} * 3) AS BIGINT) + 1] END AS corruption,
+  ['negative_visitor', 'zero_timestamp', 'orphan_transaction_id'][CAST(floor({_DRAW.format(what='invalid_field')} * 3) AS BIGINT) + 1] AS field FROM e),
+x AS (SELECT *, unnest(range(copies + 1)) AS copy FROM d)
+SELECT event_id, CAST(copy AS INTEGER) AS copy, position, shift, corruption, CASE WHEN corruption = 'invalid_field' THEN field END AS invalid_field, row_number() OVER (ORDER BY position + shift, shift > 0, position, copy) - 1 AS place FROM x""")
+def replay_plan(spark, sf_dir):
+    planned = simulate.plan(adapter.raw_events(spark, sf_dir), 7, duplicate_rate=0.02, malformed_rate=0.03, delay_rate=0.05)
+    return planned.select("event_id", "copy", "position", "shift", "corruption", "invalid_field", "place")
+
+
+@query("replay_routes", f""", d AS (SELECT event_id, CASE WHEN {_DRAW.format(what='duplicate')} < 0.02 THEN 2 ELSE 1 END AS n, {_PLAIN} AS reason,
+  CASE WHEN {_DRAW.format(what='malformed')} < 0.2 THEN ['raw_garbage', 'unknown_schema_id', 'invalid_field'][CAST(floor({_DRAW.format(what='corruption')} * 3) AS BIGINT) + 1] END AS corruption FROM e)
+SELECT CASE WHEN corruption = 'raw_garbage' THEN 'deserialization_failed' WHEN corruption = 'unknown_schema_id' THEN 'unknown_schema_id' WHEN corruption = 'invalid_field' OR reason IS NOT NULL THEN 'validation_failed' ELSE 'valid' END AS route, CAST(sum(n) AS BIGINT) AS n FROM d GROUP BY 1""")
+def replay_routes(spark, sf_dir):
+    """What a seeded replay's records come to at the router: each kind of corruption fails where it should."""
+    records = simulate.emit(simulate.plan(adapter.raw_events(spark, sf_dir), 7, duplicate_rate=0.02, malformed_rate=0.2), 7)
+    return wire.route(records.drop("place"), [1], adapter.BOUNDS).groupBy("route").agg(F.count("*").alias("n"))

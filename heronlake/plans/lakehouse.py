@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heronlake.functions.contract import classify
 from heronlake.functions.model import DEFAULT_BOUNDS, Bounds
 from heronlake.operators import medallion as m
 from heronlake.operators.scd import category_dimension, to_intervals
+from heronlake.sources import files
 from heronlake.sources.store import TableStore
 
 
@@ -35,9 +37,14 @@ def build_silver(store: TableStore, start: str | None = None, end: str | None =
     """Silver and its rejects from bronze, whole or for a range of days; rejects of other days stay."""
     check_range(start, end)
     bronze = m.in_range(store.read("bronze_events"), start, end)
-    good, bad = m.silver(bronze, store.read("dim_items_scd"), store.read("dim_categories"), bounds)
-    _put(store, "silver_events", good, start, end)
-    _put(store, "silver_rejected", bad, start, end)
+    # deduplicated and classified once: a table of its own, which valid and rejected events are read from
+    store.overwrite("silver_classified", classify(m.deduplicate(bronze), bounds))
+    try:
+        good, bad = m.split_silver(store.read("silver_classified"), store.read("dim_items_scd"), store.read("dim_categories"))
+        _put(store, "silver_events", good, start, end)
+        _put(store, "silver_rejected", bad, start, end)
+    finally:
+        store.drop("silver_classified")
     return {"silver": store.read("silver_events").count(), "rejected": store.read("silver_rejected").count()}
 
 
@@ -71,6 +78,11 @@ def ingest_bronze(store: TableStore, events: DataFrame, batch: str | None = None
     store.append("bronze_events", events, batch=batch, partition_by=["event_date"])
 
 
+def export_silver(store: TableStore, folder: str) -> None:
+    """All silver events as one CSV file in replay order: for hand-over to tools that read no tables."""
+    files.export_csv(store.read("silver_events"), folder, ["event_timestamp", "source_row_number"])
+
+
 def partition_benchmark(spark: SparkSession, store: TableStore, name: str, day: str, repeats: int = 3) -> dict:
     """Seconds and files of a one-day count on the partitioned table."""
     import time

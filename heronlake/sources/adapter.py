@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heronlake.functions.identity import event_id
 from heronlake.functions.model import TOPIC_PREFIX, Bounds
+from heronlake.operators.numbering import numbered
 
 #: The year of the driver's events.
 BOUNDS = Bounds(1704067200000, 1735689599999)
 COLUMNS = ["event_id", "visitor_id", "item_id", "event_type", "event_timestamp", "ingestion_timestamp", "transaction_id", "schema_version", "source_file", "source_row_number", "source_topic", "source_partition", "source_offset"]
 
 
-def raw_events(spark: SparkSession, sf_dir: str, inject: bool = False) -> DataFrame:
-    """Clickstream events; with inject, faults by modulus of the source row: bad visitor, zero time, orphan transaction id, copies."""
+#: Events of one partition are numbered within so many milliseconds.
+BUCKET_MS = 86_400_000
+
+
+def raw_events(spark: SparkSession, sf_dir: str, inject: bool = False, offsets: bool = True) -> DataFrame:
+    """Clickstream events; with inject, faults by modulus of the source row: bad visitor, zero time, orphan transaction id, copies.
+
+    Without offsets (for readers that need none) rows are not numbered, and source_offset is null.
+    """
     row = F.col("source_row_number")
     kind = F.when(F.col("event_type") == "click", "addtocart").when(F.col("event_type") == "purchase", "transaction").otherwise(F.col("event_type"))
     out = spark.read.parquet(f"{sf_dir}/events.parquet").select(
@@ -35,8 +43,10 @@ def raw_events(spark: SparkSession, sf_dir: str, inject: bool = False) -> DataFr
         "source_partition": F.pmod("visitor_id", F.lit(3)).cast("int"),
         "event_id": event_id(*(F.col(c) for c in ("source_file", "source_row_number", "event_timestamp", "visitor_id", "item_id", "event_type", "transaction_id"))),
     })
-    place = Window.partitionBy("source_topic", "source_partition").orderBy("event_timestamp", "source_row_number")
-    out = out.withColumn("source_offset", (F.row_number().over(place) - 1).cast("long"))
+    if offsets:
+        out = numbered(out, ["source_topic", "source_partition"], ["event_timestamp", "source_row_number"], F.floor(F.col("event_timestamp") / BUCKET_MS), "source_offset")
+    else:
+        out = out.withColumn("source_offset", F.lit(None).cast("long"))
     if inject:
         out = out.unionByName(out.where(row % 20 == 3).withColumn("source_offset", F.col("source_offset") + 1_000_000))
     return out.select(*COLUMNS)

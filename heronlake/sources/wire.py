@@ -17,8 +17,8 @@ from heronlake.functions.model import DEFAULT_BOUNDS, DLQ_MESSAGE_CHARS, DLQ_TOP
 
 
 def schema_id(value: Column) -> Column:
-    """Bytes 2 to 5 as a number; null for shorter frames."""
-    return F.when(F.length(value) >= 5, F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("long"))
+    """Bytes 2 to 5 as a number; null for shorter values and for those that do not begin with the frame's zero byte."""
+    return F.when((F.length(value) >= 5) & (F.substring(value, 1, 1) == F.unhex(F.lit("00"))), F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("long"))
 
 
 def payload(value: Column) -> Column:
@@ -80,11 +80,13 @@ def route(envelope: DataFrame, ids: list[int] | None, bounds: Bounds = DEFAULT_B
 
 
 def dead_letters(routed: DataFrame) -> DataFrame:
-    """Failed records with their error type, message (bounded) and source position."""
+    """Failed records as dead letters: the exact payload, error type, message (bounded), source position and key, the time of
+    routing in epoch milliseconds, and the schema version where the payload could be decoded that far (else null)."""
     message = F.substring(F.concat_ws(": ", "route", F.coalesce("reason", F.lit("the record could not be read"))), 1, DLQ_MESSAGE_CHARS)
     return routed.where("route <> 'valid'").select(
-        F.lit(DLQ_TOPIC).alias("topic"), "source_topic", "source_partition", "source_offset", F.col("route").alias("error_type"), message.alias("error_message"), F.col("value").alias("original_value"), F.current_timestamp().alias("failed_at")
-    )
+        F.lit(DLQ_TOPIC).alias("topic"), F.coalesce("value", F.lit(b"")).alias("original_payload"), F.col("route").alias("error_type"), message.alias("error_message"), "source_topic", F.col("source_partition").alias("partition"),
+        F.col("source_offset").alias("offset"), F.col("key").cast("string").alias("message_key"), F.unix_millis(F.current_timestamp()).alias("ingestion_timestamp"), F.when(F.col("route") == "validation_failed", F.col("schema_version")).alias("schema_version"),
+    )
 
 
 class SchemaRegistry:
@@ -135,12 +137,12 @@ def backward_compatible(reader: dict, writer: dict) -> bool:
     return all(readable(f["type"], old[f["name"]]["type"]) if f["name"] in old else "default" in f for f in reader["fields"])
 
 
-def envelope_of(events: DataFrame, id_: int = 1) -> DataFrame:
-    """Events as framed JSON records in the broker's envelope."""
+def envelope_of(events: DataFrame, id_: int = 1, more: list[str] | None = None) -> DataFrame:
+    """Events as framed JSON records in the broker's envelope, with more of their columns beside it if asked for."""
     body = F.encode(F.to_json(F.struct(*(F.col(f.name) for f in WIRE_V1.fields))), "UTF-8")
     return events.select(
         F.encode(F.col("visitor_id").cast("string"), "UTF-8").alias("key"), frame(body, id_).alias("value"), F.col("source_topic").alias("topic"), F.col("source_partition").alias("partition"),
-        F.col("source_offset").alias("offset"), F.timestamp_millis("ingestion_timestamp").alias("timestamp"), F.lit(0).alias("timestampType"),
+        F.col("source_offset").alias("offset"), F.timestamp_millis("ingestion_timestamp").alias("timestamp"), F.lit(0).alias("timestampType"), *(more or []),
     )
 
 

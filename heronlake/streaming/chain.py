@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from heronlake.operators.medallion import windowed_metrics
-from heronlake.sources import wire
+from heronlake.operators.numbering import numbered
+from heronlake.sources import adapter, wire
 from heronlake.sources.store import TableStore
 
 TOP_WINDOWS = 50
@@ -49,6 +51,11 @@ class KeyValueView:
                 self._put(f"metrics:{run_label}:latest", values, None)
         return len(rows)
 
+    def top(self, by: str = "events", k: int = 1, run_label: str = "live") -> list[tuple[str, float]]:
+        """The k windows of a run with the greatest value, as a sorted set gives them: (key, value), ties by key."""
+        held = [(key, float(v[by])) for key, v in self.kept.items() if key.startswith(f"metrics:{run_label}:") and not key.endswith(":latest") and v.get(by) is not None]
+        return sorted(held, key=lambda x: (-x[1], x[0]))[:k]
+
     def _put(self, key: str, values: dict, ttl: int | None) -> None:
         self.kept[key] = values
         if self.put:
@@ -58,7 +65,8 @@ class KeyValueView:
 class Chain:
     """The three queries over one source folder (or broker) and one table store."""
 
-    def __init__(self, spark: SparkSession, root: str, trusted_ids: list[int] | None = (1,), watermark: str = "24 hours", window: str = "5 minutes", deduplicate: bool = True, view: KeyValueView | None = None):
+    def __init__(self, spark: SparkSession, root: str, trusted_ids: list[int] | None = (1,), watermark: str = "24 hours", window: str = "5 minutes", deduplicate: bool = True, view: KeyValueView | None = None, run_label: str = "live"):
+        self.run_label = run_label
         self.spark, self.root = spark, root.rstrip("/")
         self.store = TableStore(spark, f"{self.root}/tables")
         self.trusted_ids = None if trusted_ids is None else list(trusted_ids)
@@ -108,12 +116,21 @@ class Chain:
                 if not batch.isEmpty():
                     self.store.upsert("metrics", batch, ["window_start"], batch=f"metrics-{batch_id}")
                     if self.view:
-                        self.view.publish(batch)
+                        self.view.publish(batch, self.run_label)
             finally:
                 batch.unpersist()
 
         return windowed_metrics(events, self.window).writeStream.queryName("window_metrics").option("checkpointLocation", self._checkpoint("metrics")).trigger(**(trigger or {"availableNow": True})).outputMode("update").foreachBatch(write).start()
 
+    def run_live(self, source: DataFrame, seconds: float, idle_seconds: float = 30.0, interval: str = "1 second") -> str:
+        """All queries at once until nothing came for idle_seconds ("idle") or seconds are over ("deadline"); a dead query raises."""
+        trigger = {"processingTime": interval}
+        fs, bronze = self.store._fs(self.bronze_path()), self.store._path(self.bronze_path())
+        fs.mkdirs(bronze)
+        fs.mkdirs(self.store._path(self.deduped_path()))
+        queries = [self.raw_to_bronze(source, **trigger)] + ([self.bronze_to_deduped(**trigger)] if self.deduplicate else []) + [self.to_metrics(**trigger)]
+        return watch(queries, seconds, idle_seconds)
+
     def run_available(self, source: DataFrame) -> dict[str, int]:
         """Work off what is there, stage by stage; a failed query raises. Returns the rows that each read."""
         out = {}
@@ -135,20 +152,63 @@ def drain(query: StreamingQuery, seconds: float | None = None) -> int:
     return sum(p["numInputRows"] for p in query.recentProgress)
 
 
+def watch(queries: list[StreamingQuery], seconds: float, idle_seconds: float, poll: float = 0.5) -> str:
+    """Wait until no query has finished a batch with rows for idle_seconds, or seconds are over; then stop all of them."""
+    began = moved = time.monotonic()
+    seen: dict = {}
+    try:
+        while True:
+            for q in queries:
+                if q.exception() is not None:
+                    raise q.exception()
+                if not q.isActive:
+                    raise RuntimeError(f"{q.name} has ended")
+                last = q.lastProgress
+                if last and last["numInputRows"] and seen.get(q.id) != last["batchId"]:
+                    seen[q.id], moved = last["batchId"], time.monotonic()
+            now = time.monotonic()
+            if now - began >= seconds:
+                return "deadline"
+            if now - moved >= idle_seconds and not any(q.status["isTriggerActive"] and q.status["isDataAvailable"] for q in queries):
+                return "idle"
+            time.sleep(poll)
+    finally:
+        for q in queries:
+            q.stop()
+
+
 def wire_envelope():
     from heronlake.functions.model import ENVELOPE
 
     return ENVELOPE
 
 
-def replay(events: DataFrame, folder: str, batches: int) -> None:
-    """Write events as envelope files in replay order, one file a micro-batch: the stand-in for a producer."""
-    ordered = events.orderBy("event_timestamp", "source_row_number")
-    total = ordered.count()
-    step = max(1, -(-total // batches))
+def replay(events: DataFrame, folder: str, batches: int, position: str | None = None) -> None:
+    """Write events as envelope files in replay order, one file a micro-batch: the stand-in for a producer.
+
+    Replay order is (event time, source row, offset), or a column of places from 0. Events are numbered and written once,
+    dealt to their batches; files get the times at which readers, who take the oldest first, see batches in order. events
+    that already are envelopes keep their values.
+    """
+    spark = events.sparkSession
+    given = events.persist()  # read more than once below, and perhaps not the same each time
+    if position is None:
+        events = numbered(events, [], ["event_timestamp", "source_row_number", "source_offset"], F.floor(F.col("event_timestamp") / adapter.BUCKET_MS), "_place")
+        position = "_place"
+    total = events.agg(F.max(position)).first()[0]
+    step = max(1, -(-(0 if total is None else total + 1) // batches))
+    rows = events if "value" in events.columns else wire.envelope_of(events, more=[position])
+    named = rows.withColumn("batch", F.format_string("%05d", F.floor(F.col(position) / step))).drop(position)
+    named.repartition(batches, "batch").write.mode("overwrite").partitionBy("batch").parquet(folder)
+    given.unpersist()
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    now = int(time.time() * 1000) - 1000 * (batches + 1)
     for k in range(batches):
-        part = ordered.offset(k * step).limit(step)
-        wire.envelope_of(part).coalesce(1).write.mode("overwrite").parquet(f"{folder}/batch={k:05d}")
+        part = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/batch={k:05d}")
+        if fs.exists(part):
+            for f in fs.listStatus(part):
+                fs.setTimes(f.getPath(), now + 1000 * k, -1)
 
 
 def write_view(view: KeyValueView, path: str) -> None:

@@ -1,5 +1,6 @@
 import pytest
 
+from heronlake.operators import lateness
 from heronlake.plans import catalog
 
 
@@ -8,13 +9,13 @@ def test_query_equals_sql(name, same_as_sql):
     same_as_sql(catalog.QUERIES[name], catalog.SQL[name])
 
 
-def test_every_query_has_sql_but_the_approximate_one():
-    assert set(catalog.QUERIES) - set(catalog.SQL) == {"lateness_quantiles_approx"}
+def test_every_query_has_sql():
+    assert set(catalog.QUERIES) == set(catalog.SQL)
 
 
 def test_approximate_quantiles_are_near(spark, sf_dir):
-    a = catalog.QUERIES["lateness_quantiles_approx"](spark, sf_dir).first()
-    b = catalog.QUERIES["lateness_quantiles"](spark, sf_dir).first()
+    rows = catalog.QUERIES["lateness_model"](spark, sf_dir)
+    a, b = lateness.quantiles(rows).first(), lateness.quantiles(rows, approximate=False).first()
     assert all(abs(x - y) <= max(1.0, 0.1 * y) for x, y in zip(a, b))
 
 

@@ -57,6 +57,18 @@ def parts(batches: Iterator[pa.RecordBatch], rows: int = ARROW_ROWS) -> Iterator
             yield b.slice(at, rows)
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """Names for work columns that none of ``columns`` has, however they are spelled (Spark's names ignore case)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Components of an undirected graph by alternating large-star and small-star steps.
 

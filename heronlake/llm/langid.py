@@ -206,25 +206,35 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(model)
     keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
-    schema = docs.select(*(F.col(f"`{c}`") for c in keep), F.lit("").alias(names[0]), F.lit(0.0).alias(names[1]), F.lit(0.0).alias(names[2])).schema
+    plain = [f"c{i}" for i in range(len(keep))]  # Spark hands columns to Python by name, and finds none with a dot in it
+    kept = [F.col(f"`{c}`").alias(p) for c, p in zip(keep, plain)]
+    schema = docs.select(*kept, F.lit("").alias("l"), F.lit(0.0).alias("s"), F.lit(0.0).alias("v")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.parts(batches):
             lang, score, cover = held.value.predict(b.column(len(keep)).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(lang, pa.string()), pa.array(score), pa.array(cover)], [*keep, *names])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(lang, pa.string()), pa.array(score), pa.array(cover)], [*plain, "l", "s", "v"])
 
-    return docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_col}`").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*kept, F.col(f"`{text_col}`").alias("t")).mapInArrow(run, schema).toDF(*keep, *names)
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, coverage): trained on all folds but the held-out one, predicted for every row."""
+    """(doc_id, held_out, lang_pred, score, coverage): trained on all folds but the held-out one, predicted for every row.
+
+    Repeated rows teach as often as they come and each get their row; null ids pass through, are not held out and teach
+    nothing. An empty table gives no rows; other columns are ignored. Of equal counts the first language by name wins.
+    """
     model = fit(docs.where(~F.coalesce(held_out(), F.lit(True))))
     rows = predict(docs, model, keep=["doc_id"])
     return rows.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "coverage")
 
 
 def accept(docs: DataFrame, least_coverage: float = 0.1) -> DataFrame:
-    """The rows of docs in a recognised language: not ``und``, and at least least_coverage of the n-grams known."""
-    names = ("_heron_lang", "_heron_score", "_heron_coverage")
+    """The rows of docs in a recognised language: not ``und``, and at least least_coverage of the n-grams known.
+
+    Null texts and texts without a letter go. Repeated rows are judged alike, all columns are kept, whatever their names, and
+    an empty table stays empty.
+    """
+    names = tuple(common.fresh(docs.columns, "_heron_lang", "_heron_score", "_heron_coverage"))
     model = fit(docs.where(~F.coalesce(held_out(), F.lit(True))))
     return predict(docs, model, names=names).where((F.col(names[0]) != "und") & (F.col(names[2]) >= least_coverage)).select(*(F.col(f"`{c}`") for c in docs.columns))

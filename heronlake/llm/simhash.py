@@ -209,11 +209,13 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of docs with one document of each near-duplicate group: the one with the smallest doc_id.
 
     Of several rows with that doc_id one stays; a group whose doc_ids are all null keeps no row, for none can be named.
+    Null, empty and blank texts are one group. An empty table stays empty; other columns are kept, whatever their names.
     """
+    [key] = common.fresh(docs.columns, "_keep")
     found = near_duplicates(docs, id_col, text_col, max_distance)
     keep = common.materialise(found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count("*").alias("n")), "simhash-keep")
     # the list grows with the corpus: never broadcast, so the plan is the same at every size
-    out = docs.join(keep.select(F.col("doc_id").alias("_keep")).hint("merge"), F.col(id_col) == F.col("_keep"), "left_semi")
+    out = docs.join(keep.select(F.col("doc_id").alias(key)).hint("merge"), F.col(f"`{id_col}`") == F.col(key), "left_semi")
     if keep.where("n > 1").limit(1).count():
         out = out.dropDuplicates([id_col])
     return out

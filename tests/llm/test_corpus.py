@@ -321,6 +321,51 @@ def test_languages(spark, docs):
     assert {x["lang_pred"] for x in langid.predict(docs, langid.fit(docs.limit(0))).collect()} == {"und"}
 
 
+def test_counts_equal_exact_sets(spark):
+    """Popcounts against plain sets of the n-grams that the definition gives each language, and their decisions."""
+    sf = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    train = sf.where("crc32(cast(doc_id as string)) % 5 <> 0")
+    model = langid.fit(train, sample_per_language=10**9)
+
+    def grams(t):
+        t = " " + re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in t.lower())).lstrip(" ") + "  "
+        return [t[i : i + 4] for i in range(len(t) - 3)]
+
+    counts = collections.defaultdict(collections.Counter)
+    for r in train.where("text is not null and lang is not null").collect():
+        counts[r["lang"]].update(grams(r["text"]))
+    names = sorted(counts)
+    totals = {n: sum(counts[n].values()) for n in names}
+    sets = {}
+    for n in names:
+        least = 2 if totals[n] > 10_000 else 1
+        own = [g for g, k in counts[n].items() if k >= least and k / totals[n] >= 0.5 * max(counts[m][g] / totals[m] for m in names)]
+        assert len(own) <= langid.GRAMS_PER_LANGUAGE
+        sets[n] = set(own)
+    assert model.languages == names
+    held = [r["text"] for r in sf.where("crc32(cast(doc_id as string)) % 5 = 0 and text is not null").collect() if langid.has_letter(r["text"])]
+    agree = 0
+    for t in held:
+        g = grams(t)
+        hashes = langid.grams(langid._codes(t))
+        assert len(hashes) == len(g)
+        got = model.counts(hashes, np.array([0]))[0]
+        exact = np.array([sum(x in sets[n] for x in g) for n in names])
+        assert (got >= exact).all() and (got - exact <= 6 + 0.08 * len(g)).all()  # a Bloom filter never misses, and seldom says too much
+        agree += model.predict([t])[0][0] == names[int(exact.argmax())]
+    assert agree >= 0.99 * len(held) > 50
+
+
+def test_work_columns_do_not_clash(spark, sf_dir):
+    own = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    names = ["_keep", "_heron_score", "_heron_lang", "_heron_coverage", "_own_id", "_own_k", "_KEEP_ID", "_text", "text2", "words", "a.b"]
+    docs = own.select("*", *(F.lit(7).alias(n) for n in names))
+    for stage in (langid.accept, quality.filter_documents, simhash.deduplicate, neartext.deduplicate):
+        got, plain = stage(docs), stage(own)
+        assert got.columns == docs.columns and got.count() == plain.count() > 0
+        assert {tuple(r) for r in got.select(*(f"`{n}`" for n in names)).distinct().collect()} == {(7,) * len(names)}
+
+
 def test_filters_say_which_languages_hold_a_gram():
     r = np.random.default_rng(1)
     members = [r.integers(0, 2**63, 5000).astype(np.uint64) for _ in range(70)]  # more languages than one word has bits
@@ -537,6 +582,34 @@ def test_pipeline_drops_texts_of_similarity_80(spark, sf_dir):
     assert stage(spark, df.limit(0), sf_dir).count() == 0
 
 
+def test_pigeonring_keys_catch_all_within_the_budget():
+    r = np.random.default_rng(3)
+    for _ in range(300):
+        a = r.integers(0, 1 << 63, neartext.RING, np.uint64)
+        b = a.copy()
+        at = r.choice(neartext.RING, r.integers(0, neartext.BUDGET + 1), replace=False)
+        b[at] += np.uint64(1)
+        keys = []
+        for x in (a, b):  # the fingerprints themselves as sets' minima
+            low, neartext.ring = neartext.ring, lambda h, x=x: x
+            keys.append(set(neartext.chain_keys(np.ones(1, np.uint64)).tolist()))
+            neartext.ring = low
+        assert keys[0] & keys[1]
+
+
+def test_clusters_of_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neartext, "BLOCK", 8)
+    r = random.Random(12)
+    base = [f"w{r.randrange(5000)}" for _ in range(120)]
+    texts = []
+    for i in range(90):  # a chain: each is near the one before, few are near the first
+        base[(7 * i) % 120] = f"x{i}"
+        texts.append(" ".join(base))
+    want = components(len(texts), [(i, j) for i in range(len(texts)) for j in range(i) if brute_jaccard(texts[i], texts[j]) >= 0.8])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(x["doc_id"] for x in neartext.deduplicate(df).collect()) == sorted(set(want))
+
+
 def test_pipeline_keeps_rows_not_ids(spark, sf_dir):
     import corpus_pipeline as p
 
@@ -717,5 +790,56 @@ def test_pipeline_stages(spark, sf_dir, docs):
     assert sorted(map(tuple, p.run(spark, sf_dir).select("doc_id", "piece", "ids_crc32").collect())) == sorted(map(tuple, frame.select("doc_id", "piece", "ids_crc32").collect()))
 
 
+def test_pipeline_equals_brute_force(spark, sf_dir):
+    """All stages at once: what is packed at the end, found from the texts alone."""
+    import corpus_pipeline as p
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    known = {r["doc_id"] for r in langid.accept(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()}
+    own = [r for r in docs if r["doc_id"] in known and not brute_rejects(r["text"] or "", p.MIN_WORDS)]
+    roots = components(len(own), [(i, j) for i in range(len(own)) for j in range(i) if brute_jaccard(own[i]["text"], own[j]["text"]) >= 0.8])
+    first = {}
+    for r, c in zip(own, roots):
+        first[c] = min(first.get(c, r["doc_id"]), r["doc_id"])
+    tok, want = Tokenizer.from_file(queries.tokenizer_file("word_bpe_49k.json")), collections.Counter()
+    for r, c in zip(own, roots):
+        if first[c] == r["doc_id"]:
+            ids = tok.encode(r["text"], add_special_tokens=False).ids + [0]
+            for k, at in enumerate(range(0, len(ids), 2048)):
+                want[r["doc_id"], k, zlib.crc32(np.array(ids[at : at + 2048], "<u4").tobytes())] += 1
+    assert collections.Counter((r["doc_id"], r["piece"], r["ids_crc32"]) for r in p.run(spark, sf_dir).collect()) == want
+
+
+def brute_rejects(t, min_words):
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    n, chars, symbols = len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t))
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    at = collections.defaultdict(list)
+    for i in range(n - 7):
+        at[tuple(w[i : i + 8])].append(i)
+    again = {j for places in at.values() if len(places) > 1 for i in places for j in range(i, i + 8)}
+    d = len(set(w))
+    return (
+        n < min_words or 10 * symbols > n or chars < 2 * n or chars > 12 * n or len(lines) >= 3 and 10 * (len(lines) - len(set(lines))) > 4 * len(lines)
+        or 10 * sum(x.endswith("!!") for x in w) > 6 * n or 10 * sum(any(map(str.isalpha, x)) for x in w) < 6 * n or n >= 100 and 100 * d < 12 * n and 10 * d * d < 288 * n or 100 * len(again) > 30 * n
+    )
+
+
+def test_long_prose_is_kept(spark):
+    r = random.Random(1)
+    prose = " ".join(f"w{int(30_000 * r.random() ** 3)}x" for _ in range(300_000))  # under a tenth of the words differ
+    kept = quality.filter_documents(spark.createDataFrame([(1, prose), (2, "a b c d " * 50_000), (3, "")], "doc_id long, text string")).collect()
+    assert [x["doc_id"] for x in kept] == [1]
+
+
+def test_order_is_by_what_is_left(spark):
+    rows = spark.createDataFrame([(i, "x " * 30 if i % 2 else "good words here that differ " + " ".join(f"w{i}q{j}" for j in range(30))) for i in range(300)], "doc_id long, text string")
+    cheap = quality.Rule("cheap", lambda p: p.n_words == 30)
+    same = quality.Rule("same", lambda p: (p.n_words == 30) & (p.n_repeat_words > 0))  # rejects nothing that cheap leaves
+    assert [x.name for x in quality.order_rules(rows, own=[same, cheap])] == ["cheap", "same"]
+    assert quality.order_rules(rows.limit(0), own=[same, cheap]) == [same, cheap]
+
+
 def test_quality_sql(same_as_sql):
     same_as_sql(queries.op3_quality_rules, quality.MEASURE_SQL)

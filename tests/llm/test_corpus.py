@@ -11,6 +11,7 @@ import time
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -716,6 +717,33 @@ def test_embeddings_of_each_length_are_compared(spark):
     assert all(got[i] == (n[i], want[i], want[i] == i) for i in range(90, len(vectors)))
 
 
+def _clusters(n, d=64, seed=7):
+    r = np.random.default_rng(seed)
+    centres = r.normal(size=(n // 8, d))
+    x = centres[r.integers(0, len(centres), n)] + r.normal(size=(n, d)) * r.uniform(0.05, 0.36, (n, 1))
+    return x.astype(np.float32)
+
+
+def test_recall_on_many_vectors(spark):
+    x = _clusters(20_000)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": x.tolist()}), "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: r["n_links"] for r in multiindex.near_duplicates(df).collect()}
+    u = x.astype(np.float64)
+    u /= np.sqrt((u * u).sum(1))[:, None]
+    want = np.concatenate([(u[i : i + 1000] @ u.T >= 0.9).sum(1) - 1 for i in range(0, len(u), 1000)])
+    assert want.sum() > 20_000 and all(got[i] <= want[i] for i in got)
+    assert sum(got.values()) / want.sum() >= 0.95
+
+
+def test_hot_regions_are_split(spark, monkeypatch):
+    """Blocks find what whole regions find."""
+    x = np.concatenate([_clusters(600, 16), np.tile(_clusters(8, 16)[:1], (300, 1)) + np.random.default_rng(1).normal(size=(300, 16)).astype(np.float32) * 0.02])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    whole = sorted(map(tuple, multiindex.near_duplicates(df).collect()))
+    monkeypatch.setattr(multiindex, "BLOCK", 64)
+    assert sorted(map(tuple, multiindex.near_duplicates(df).collect())) == whole
+
+
 def test_traversal_is_in_rising_order():
     r = np.random.default_rng(4)
     index = multiindex.Index(r.normal(size=(9, 4)), r.normal(size=(7, 4)))

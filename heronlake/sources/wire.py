@@ -43,6 +43,7 @@ def decode(envelope: DataFrame, schema: T.StructType = WIRE_V1, avro_schema: str
             from pyspark.sql.avro.functions import from_avro
 
             decoded = from_avro(body, avro_schema, {"mode": "PERMISSIVE"})
+            envelope.select(decoded)  # analysed here, where a missing package shows
         except Exception as e:  # the JVM classes are an optional package
             raise RuntimeError("Avro payloads need the spark-avro package") from e
     else:

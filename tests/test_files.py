@@ -175,3 +175,13 @@ def test_view_gives_the_top_windows():
     view = KeyValueView()
     view.kept = {"metrics:live:a": {"events": "3"}, "metrics:live:b": {"events": "7"}, "metrics:live:latest": {"events": "9"}, "metrics:x:c": {"events": "8"}, "metrics:live:d": {"events": None}}
     assert view.top() == [("metrics:live:b", 7.0)] and view.top(k=5) == [("metrics:live:b", 7.0), ("metrics:live:a", 3.0)]
+
+
+def test_optional_formats_say_what_they_need(spark):
+    from heronlake.functions.model import ENVELOPE
+
+    empty = spark.createDataFrame([], ENVELOPE)
+    with pytest.raises(RuntimeError, match="spark-avro"):
+        wire.decode(empty, avro_schema='{"type": "record", "name": "r", "fields": []}').collect()
+    with pytest.raises(Exception, match="(?i)kafka"):
+        wire.stream_source(spark, bootstrap="localhost:1", topics=["t"])

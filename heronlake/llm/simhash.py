@@ -183,7 +183,7 @@ def links(fps: DataFrame, max_distance: int = 3) -> DataFrame:
         if held:
             yield flush(*(np.concatenate(x) for x in zip(*held)))
 
-    return parts.mapInArrow(run, "a long, b long").distinct()
+    return parts.mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_distance: int = 3) -> DataFrame:
@@ -196,7 +196,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = common.materialise(with_fingerprints(docs, id_col, text_col), "simhash")
     classes = common.materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-classes")
-    roots = common.connected_components(common.materialise(links(classes.select("fp"), max_distance), "simhash-links"))
+    roots = common.connected_components(links(classes.select("fp"), max_distance))
     linked = classes.join(roots.withColumnRenamed("node", "fp"), "fp")
     lows = linked.groupBy("root").agg(F.min("low").alias("least"))
     named = linked.join(lows, "root").select("fp", "least")

@@ -99,7 +99,11 @@ class TableStore:
         """Write df as new files and return them: folders (one for each partition), or files where there are no partitions."""
         run = uuid.uuid4().hex
         target = f"{self.root}/{name}/data/run={run}"
-        df.write.partitionBy(*partition_by).parquet(target) if partition_by else df.write.parquet(target)
+        if partition_by:
+            # rows of a partition come together, in pieces that adaptive execution keeps to a good size: else each task writes a file a partition
+            df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(target)
+        else:
+            df.write.parquet(target)
         fs = self._fs(self.root)
 
         def leaves(at, depth: int) -> list[str]:

@@ -103,7 +103,9 @@ class Chain:
         r = self.spark.readStream.schema(self.bronze_schema())
         r = r.option("maxFilesPerTrigger", max_files) if max_files else r
         events = r.parquet(f"{self.bronze_path()}/batch_id=*/event_date=*").withColumn("event_date", F.to_date("event_time"))
-        return deduplicated(events, self.watermark).writeStream.queryName("deduped_events").format("parquet").option("path", self.deduped_path()).option("checkpointLocation", self._checkpoint("deduped")).partitionBy("event_date").trigger(**(trigger or {"availableNow": True})).outputMode("append").start()
+        # a date's rows go to an eighth of the tasks, so a batch writes few files a date, and no date is one task on a large cluster
+        spread = F.pmod(F.xxhash64("event_id"), F.lit(max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 8)))
+        return deduplicated(events, self.watermark).repartition("event_date", spread).writeStream.queryName("deduped_events").format("parquet").option("path", self.deduped_path()).option("checkpointLocation", self._checkpoint("deduped")).partitionBy("event_date").trigger(**(trigger or {"availableNow": True})).outputMode("append").start()
 
     def to_metrics(self, **trigger) -> StreamingQuery:
         """Window metrics in update mode: the last value of a window wins. No watermark: a replayed log is finite."""

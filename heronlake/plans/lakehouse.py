@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +24,17 @@ def check_range(start: str | None, end: str | None) -> None:
         raise ValueError("the start date must be before the end date")
 
 
+def together(*steps: Callable[[], object]) -> list:
+    """Run steps that write different tables at the same time; the first failure is raised when all have ended."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(s) for s in steps]]
+
+
 def build_scd(store: TableStore, snapshots: DataFrame, categories: DataFrame) -> None:
-    store.overwrite("dim_items_scd", to_intervals(snapshots), ["property"])
-    store.overwrite("dim_categories", category_dimension(categories))
+    together(
+        lambda: store.overwrite("dim_items_scd", to_intervals(snapshots), ["property"]),
+        lambda: store.overwrite("dim_categories", category_dimension(categories)),
+    )
 
 
 def _put(store: TableStore, name: str, df: DataFrame, start: str | None, end: str | None) -> None:
@@ -41,11 +52,11 @@ def build_silver(store: TableStore, start: str | None = None, end: str | None =
     store.overwrite("silver_classified", classify(m.deduplicate(bronze), bounds))
     try:
         good, bad = m.split_silver(store.read("silver_classified"), store.read("dim_items_scd"), store.read("dim_categories"))
-        _put(store, "silver_events", good, start, end)
-        _put(store, "silver_rejected", bad, start, end)
+        together(lambda: _put(store, "silver_events", good, start, end), lambda: _put(store, "silver_rejected", bad, start, end))
     finally:
         store.drop("silver_classified")
-    return {"silver": store.read("silver_events").count(), "rejected": store.read("silver_rejected").count()}
+    silver, rejected = together(*(lambda n=n: store.read(n).count() for n in ("silver_events", "silver_rejected")))
+    return {"silver": silver, "rejected": rejected}
 
 
 def build_gold(store: TableStore, start: str | None = None, end: str | None = None, provenance: bool = True) -> None:
@@ -53,11 +64,13 @@ def build_gold(store: TableStore, start: str | None = None, end: str | None = No
     check_range(start, end)
     everything = store.read("silver_events")
     part = m.in_range(everything, start, end)
-    _put(store, "fact_events", m.fact_events(part, provenance), start, end)
-    _put(store, "fact_transactions", m.fact_transactions(part), start, end)
-    _put(store, "mart_daily_item_metrics", m.daily_item_metrics(part), start, end)
-    store.overwrite("mart_item_funnel", m.item_funnel(everything))
-    store.overwrite("mart_category_performance", m.category_performance(everything))
+    together(
+        lambda: _put(store, "fact_events", m.fact_events(part, provenance), start, end),
+        lambda: _put(store, "fact_transactions", m.fact_transactions(part), start, end),
+        lambda: _put(store, "mart_daily_item_metrics", m.daily_item_metrics(part), start, end),
+        lambda: store.overwrite("mart_item_funnel", m.item_funnel(everything)),
+        lambda: store.overwrite("mart_category_performance", m.category_performance(everything)),
+    )
 
 
 def backfill(store: TableStore, start: str, end: str, bounds: Bounds = DEFAULT_BOUNDS, snapshots: DataFrame | None = None, categories: DataFrame | None = None, gold: bool = True) -> dict:

@@ -611,6 +611,51 @@ def test_clusters_of_many_blocks(spark, monkeypatch):
     assert sorted(x["doc_id"] for x in neartext.deduplicate(df).collect()) == sorted(set(want))
 
 
+def test_candidates_keep_to_the_budgets_of_all_chains(spark):
+    r = random.Random(13)
+    texts = []
+    for _ in range(40):  # groups that share some of their text, from a little to nearly all
+        common_part = [f"w{r.randrange(5000)}" for _ in range(r.randrange(40, 200))]
+        texts += [" ".join(common_part + [f"x{r.randrange(5000)}" for _ in range(r.randrange(1, 2 * len(common_part)))]) for _ in range(3)]
+    sets = [neartext.shingles(t) for t in texts]
+    rings, keys = [neartext.ring(s) for s in sets], [set(neartext.chain_keys(s).tolist()) for s in sets]
+    pairs = [(i, j, int((rings[i] != rings[j]).sum())) for i in range(len(texts)) for j in range(i)]
+    assert sum(d > neartext.BUDGET and bool(keys[i] & keys[j]) for i, j, d in pairs) > 20 and all(keys[i] & keys[j] for i, j, d in pairs if d <= neartext.BUDGET)
+    of = neartext.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    ids = {x["c"]: x["best"]["doc_id"] for x in of.collect()}
+    found = [(ids[x["c"]], ids[x["m"]]) for x in neartext.candidates(of).collect()]
+    assert components(len(texts), found) == components(len(texts), [(i, j) for i, j, d in pairs if d <= neartext.BUDGET])
+
+
+def test_buckets_compare_chains_of_every_length():
+    r = np.random.default_rng(14)
+    n, budget = neartext.RING, neartext.BUDGET
+    inside = 0
+    for _ in range(60):
+        rows = r.integers(0, 2, (6, n)).astype(np.uint8) * (r.random(n) < 0.95)
+        differ = [(i, j, rows[i] != rows[j]) for i in range(6) for j in range(i)]
+        ok = {(i, j, s) for i, j, d in differ for s in range(n) if all(sum(d[(s + x) % n] for x in range(l)) <= l * budget // n for l in range(1, n + 1))}
+        for s in range(n):
+            assert components(6, neartext.bucket_forest(rows, s)) == components(6, [(i, j) for i, j, t in ok if t == s])
+        assert {(i, j) for i, j, d in differ if d.sum() <= budget} == {(i, j) for i, j, _ in ok}  # the principle: some start has them all
+        inside += len({(i, j) for i, j, _ in ok})
+    assert 100 < inside < 800
+
+
+def test_frequent_keys_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(neartext, "BUCKET", 2)
+    r = random.Random(15)
+    texts = []
+    for _ in range(6):
+        words = [f"w{r.randrange(5000)}" for _ in range(150)]
+        for _ in range(8):
+            words[r.randrange(150)] = f"x{r.randrange(5000)}"
+            texts.append(" ".join(words))
+    want = components(len(texts), [(i, j) for i in range(len(texts)) for j in range(i) if brute_jaccard(texts[i], texts[j]) >= 0.8])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(x["doc_id"] for x in neartext.deduplicate(df).collect()) == sorted(set(want))
+
+
 def test_pipeline_keeps_rows_not_ids(spark, sf_dir):
     import corpus_pipeline as p
 
